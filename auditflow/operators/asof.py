@@ -13,7 +13,7 @@ def running_max(df: DataFrame, order: str, value: str, width: int) -> DataFrame:
     bucket is scanned on its own, and only the bucket maxima (one row per bucket) are scanned
     together, so the unpartitioned window sees ``range / width`` rows.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(order) / F.lit(width)))
+    bucketed = df.withColumn("_bucket", F.col(order) - F.pmod(F.col(order), F.lit(width)))
     inside = Window.partitionBy("_bucket").orderBy(order)
     heads = bucketed.groupBy("_bucket").agg(F.max(value).alias("_head"))
     carried = heads.select(

@@ -2,50 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
+from auditflow.functions.json import LENIENT_JSON, merge_objects, without_keys
 
-# Items are objects with any keys and are passed through whole unless a schema is given.
-ANY_ITEM = "map<string,variant>"
 
-_JSON_OPTIONS = {
-    "columnNameOfCorruptRecord": "_bad",
-    "allowUnquotedFieldNames": "true",
-    "allowSingleQuotes": "true",
-}
-
-
-def parse_messages(df: DataFrame, item_type: str = ANY_ITEM) -> DataFrame:
+def parse_messages(df: DataFrame, item_type: str | None = None) -> DataFrame:
     """Parse ``value`` into ``dt``, ``countryCode`` and ``items``; other columns are kept.
 
+    Items are variants: objects with any keys and numbers of any precision. With a declared
+    ``item_type`` (a struct) only its keys are read, which is faster.
+
     ``problem`` is null for a usable message, else ``malformed`` (not one JSON object, or ``data``
-    is no array), ``no_data`` or ``bad_item`` (an element is no object). The raw text is kept only
-    for messages with a problem, so exploding does not copy it.
+    is no array) or ``no_data``. The raw text is kept only for messages with a problem, so
+    exploding does not copy it.
     """
     keep = [c for c in df.columns if c != "value"]
-    open_items = item_type == ANY_ITEM
-    element = "variant" if open_items else item_type
-    schema = f"dt string, countryCode string, data array<{element}>, _bad string"
-    parsed = with_once(df, "_m", F.from_json("value", schema, _JSON_OPTIONS)).select(
-        *keep, "value", "_m.dt", "_m.countryCode", F.col("_m.data").alias("_data"),
-        (F.col("_m").isNull() | F.col("_m._bad").isNotNull()).alias("_malformed"),
+    schema = f"dt string, countryCode string, data array<{item_type or 'variant'}>, _bad string"
+    parsed = with_once(df, "_m", F.from_json("value", schema, LENIENT_JSON))
+    checked = parsed.withColumn(
+        "problem",
+        F.when(F.col("_m").isNull() | F.col("_m._bad").isNotNull(), "malformed")
+        .when(F.col("_m.data").isNull(), "no_data"),
     )
-    if open_items:
-        as_maps = F.transform("_data", lambda e: e.try_cast(ANY_ITEM))
-        parsed = with_once(parsed, "_items", as_maps)
-    else:
-        parsed = parsed.withColumnRenamed("_data", "_items")
-    problem = (
-        F.when(F.col("_malformed"), "malformed")
-        .when(F.col("_items").isNull(), "no_data")
-        .when(F.exists("_items", lambda e: e.isNull()), "bad_item")
-    )
-    checked = parsed.withColumn("problem", problem)
     usable = F.col("problem").isNull()
     return checked.select(
-        *keep, "dt", "countryCode", F.when(usable, F.col("_items")).alias("items"),
+        *keep, "_m.dt", "_m.countryCode", F.when(usable, F.col("_m.data")).alias("items"),
         "problem", F.when(~usable, F.col("value")).alias("raw"),
     )
 
@@ -75,34 +59,28 @@ def enrich(messages: DataFrame, codes: DataFrame, on_missing: str = "null") -> D
 def explode_items(messages: DataFrame) -> DataFrame:
     """One row per item. A message with a problem stays as one row, an empty one gives none."""
     keep = [c for c in messages.columns if c != "items"]
-    # explode_outer, because plain explode makes the planner parse the message again for a filter.
-    rows = messages.select(*keep, F.explode_outer("items").alias("item"))
-    if "problem" not in keep:
-        return rows.where("item is not null")
-    return rows.where("item is not null or problem is not null")
-
-
-def put_keys(item: Column, **new: Column) -> Column:
-    """Set keys of an any-key item; old values of those keys and null values are left out."""
-    kept = F.map_filter(item, lambda k, v: ~k.isin(*new) & ~F.is_variant_null(v))
-    added = F.create_map(*(part for k, v in new.items() for part in (F.lit(k), v.cast("variant"))))
-    return F.map_concat(kept, F.map_filter(added, lambda k, v: v.isNotNull()))
-
-
-def item_json(item: Column, item_type: str = ANY_ITEM) -> Column:
-    """The cleaned record as JSON text: the item with ``area`` and ``dt`` put in, nulls omitted."""
-    if item_type == ANY_ITEM:
-        return F.to_json(put_keys(item, area=F.col("area"), dt=F.col("dt")))
-    return F.to_json(item.withField("area", F.col("area")).withField("dt", F.col("dt")))
+    # An outer explode, because a plain one makes the planner parse the message again in a filter.
+    rows = messages.select(*keep, F.posexplode_outer("items").alias("_pos", "item"))
+    return rows.where("_pos is not null or problem is not null").drop("_pos")
 
 
 def cleaned_records(
-    df: DataFrame, codes: DataFrame, on_missing: str = "null", item_type: str = ANY_ITEM
+    df: DataFrame, codes: DataFrame, on_missing: str = "null", item_type: str | None = None
 ) -> DataFrame:
-    """The whole cleaning step: ``(kind, value)`` with kind ``clean`` or the problem's name."""
+    """The whole cleaning step: ``(kind, value)``.
+
+    Kind ``clean`` holds items as JSON text with ``area`` and ``dt`` put in and nulls left out.
+    Messages with a problem come out whole under its name, elements that are no objects under
+    ``bad_item``.
+    """
     rows = explode_items(enrich(parse_messages(df, item_type), codes, on_missing))
-    text = F.when(F.col("problem").isNull(), item_json(F.col("item"), item_type))
-    return rows.select(
-        F.coalesce("problem", F.lit("clean")).alias("kind"),
-        F.coalesce(text, F.col("raw")).alias("value"),
+    own = F.to_json(without_keys(F.col("item"), "area", "dt", struct=item_type is not None))
+    written = with_once(rows, "_own", F.when(F.col("problem").isNull(), own))
+    added = F.to_json(F.struct("area", "dt"))
+    unread = F.when(F.col("_own").isNull(), "bad_item").otherwise("clean")
+    return written.select(
+        F.coalesce("problem", unread).alias("kind"),
+        F.coalesce(
+            merge_objects(added, F.col("_own")), F.col("raw"), F.to_json("item"), F.lit("null")
+        ).alias("value"),
     )

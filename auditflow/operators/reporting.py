@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
+from auditflow.functions.json import LENIENT_JSON
 from auditflow.functions.text import tab_line
 from auditflow.functions.times import format_time, parse_time_ms
 from auditflow.operators.rules import ReportRules
@@ -13,11 +14,6 @@ from auditflow.operators.rules import ReportRules
 PANE_KEY = ["window_start_ms", "type", "area"]
 
 _AUDIT_SCHEMA = "dt string, type string, area string, _bad string"
-_JSON_OPTIONS = {
-    "columnNameOfCorruptRecord": "_bad",
-    "allowUnquotedFieldNames": "true",
-    "allowSingleQuotes": "true",
-}
 
 
 def window_start(ms: Column, rules: ReportRules) -> Column:
@@ -37,7 +33,7 @@ def parse_audit(df: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     or exactly the epoch) or ``no_key`` (type or area missing). Other columns are kept.
     """
     keep = [c for c in df.columns if c != "value"]
-    parsed = with_once(df, "_m", F.from_json("value", _AUDIT_SCHEMA, _JSON_OPTIONS))
+    parsed = with_once(df, "_m", F.from_json("value", _AUDIT_SCHEMA, LENIENT_JSON))
     timed = with_once(parsed, "event_ms", parse_time_ms(F.col("_m.dt"), rules.lenient_time))
     status = (
         F.when(F.col("_m").isNull() | F.col("_m._bad").isNotNull(), "malformed")

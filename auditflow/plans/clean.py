@@ -24,7 +24,7 @@ RECORD_WITH_LINE = RECORD + ", line struct<order bigint, price decimal(20,4)>"
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_messages(tables.messages(spark, sf_dir), SCORED_ITEM)
-    return parsed.where("problem is null").drop("problem", "raw")
+    return parsed.where("problem is null")
 
 
 def _item_columns() -> list[Column]:
@@ -49,10 +49,9 @@ def clean_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = parse_messages(tables.messages(spark, sf_dir))
-    return parsed.where("problem is not null").select(
-        F.col("problem").alias("reason"), F.col("raw").alias("value")
-    )
+    codes = invert_areas(tables.areas(spark, sf_dir))
+    records = cleaned_records(tables.messages(spark, sf_dir), codes)
+    return records.where("kind <> 'clean'").select(F.col("kind").alias("reason"), "value")
 
 
 def clean_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,9 +175,9 @@ FROM msg WHERE problem IS NULL""",
     "clean_quarantine": f"""
 WITH {_MESSAGES}
 SELECT problem AS reason,
-       '{{"dt":"' || dt || '","countryCode' ||
-       CASE problem WHEN 'malformed' THEN '' WHEN 'no_data' THEN '":"' || code || '"}}'
-                    ELSE '":"' || code || '","data":[1]}}' END AS value
+       CASE problem WHEN 'malformed' THEN '{{"dt":"' || dt || '","countryCode'
+                    WHEN 'no_data' THEN '{{"dt":"' || dt || '","countryCode":"' || code || '"}}'
+                    ELSE '1' END AS value
 FROM msg WHERE problem IS NOT NULL""",
     "clean_explode": f"""
 WITH {_MESSAGES} SELECT dt, code AS "countryCode", type, score, level FROM item""",

@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole_part(number: Column, by: int) -> Column:
+    """Integer division, exact for any 64-bit number."""
+    return F.call_function("div", number, F.lit(by))
+
+
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -128,7 +133,7 @@ def messages_from(
 def arrival_ms() -> Column:
     """Arrival time of an event: within a minute, but hours late for every fifth one."""
     event_id = F.col("event_id")
-    late = F.floor(event_id / 5) * 37 % 40 * 300_000
+    late = whole_part(event_id, 5) * 37 % 40 * 300_000
     delay = F.when(event_id % 5 == 0, late).otherwise(event_id % 60 * 1000)
     return F.unix_millis(F.col("ts").cast("timestamp")) + delay
 
@@ -155,7 +160,7 @@ def audit_events_from(
     time = F.when(event_id % 97 == 0, bad_time).otherwise(F.date_format("ts", TIME_FORMAT))
     kind = F.when(event_id % 103 != 0, F.col("event_type"))
     value = F.when(event_id % 101 == 0, F.lit('{"dt":')).otherwise(_audit_json(time, kind))
-    batch = F.floor(arrival / batch_ms).cast("bigint")
+    batch = whole_part(arrival, batch_ms)
     return located.select(batch.alias("batch_id"), value.alias("value"))
 
 

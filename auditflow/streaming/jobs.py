@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from auditflow.functions.times import format_time
-from auditflow.operators.cleaning import ANY_ITEM, cleaned_records
+from auditflow.operators.cleaning import cleaned_records
 from auditflow.operators.reporting import parse_audit, usable
 from auditflow.operators.rules import ReportRules
 from auditflow.sources.dimension import AreaDimension
@@ -24,7 +24,7 @@ def clean_job(
     sink: FolderSink | ConnectorSink,
     checkpoint: str,
     on_missing: str = "null",
-    item_type: str = ANY_ITEM,
+    item_type: str | None = None,
     trigger: dict = EVERY_MINUTE,
 ) -> StreamingQuery:
     """Clean a stream of messages; the dimension is looked up anew for each micro-batch.
