@@ -1,0 +1,44 @@
+"""Every registered query against its SQL counterpart on the given tables."""
+
+import os
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as entry_points
+
+duckdb = pytest.importorskip("duckdb")
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    con = duckdb.connect()
+    con.execute("SET timezone = 'UTC'")
+    for path in Path(SF_DIR).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+def test_every_query_has_a_counterpart():
+    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", entry_points.queries())
+def test_same_rows_as_sql(spark, oracle, name):
+    df = entry_points.queries()[name](spark, SF_DIR)
+    columns = sorted(df.columns)
+    got = Counter(tuple(row[c] for c in columns) for row in df.collect())
+    cursor = oracle.execute(entry_points.oracle_sql()[name])
+    named = [d[0] for d in cursor.description]
+    assert sorted(named) == columns
+    rows = cursor.fetchall()
+    expected = Counter(tuple(row[named.index(c)] for c in columns) for row in rows)
+    assert expected and got == expected
+
+
+def test_entry_gives_rows(spark):
+    assert entry_points.entry(spark).take(1)

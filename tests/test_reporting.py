@@ -1,0 +1,66 @@
+from pyspark.sql import functions as F
+
+from auditflow.operators.reporting import (
+    as_documents,
+    count_panes,
+    parse_audit,
+    rejected,
+    usable,
+)
+from auditflow.operators.rules import ReportRules
+
+GOOD = '{"dt":"2018-01-01 00:00:59","type":"t","username":"u","area":"X"}'
+GOOD_MS = 1_514_764_859_000
+
+
+def test_parse(values):
+    row = parse_audit(values(GOOD)).first()
+    assert (row.event_ms, row.type, row.area, row.status) == (GOOD_MS, "t", "X", "ok")
+
+
+def test_reasons_for_setting_a_row_aside(values):
+    bad = {
+        "{bad": "malformed",
+        "[1]": "malformed",
+        '{"type":"t","area":"X"}': "bad_time",
+        '{"dt":null,"type":"t","area":"X"}': "bad_time",
+        '{"dt":"bad","type":"t","area":"X"}': "bad_time",
+        '{"dt":"","type":"t","area":"X"}': "bad_time",
+        '{"dt":"1970-01-01 00:00:00","type":"t","area":"X"}': "bad_time",
+        '{"dt":"2018-01-01 00:00:59","area":"X"}': "no_key",
+        '{"dt":"2018-01-01 00:00:59","type":"t","area":null}': "no_key",
+    }
+    audit = parse_audit(values(GOOD, *bad))
+    assert {r.value: r.reason for r in rejected(audit).collect()} == bad
+    assert usable(audit).count() == 1
+
+
+def test_strict_time_is_an_option(values):
+    loose = GOOD.replace("2018-01-01", "2018-1-1")
+    assert parse_audit(values(loose)).first().status == "ok"
+    strict = ReportRules(lenient_time=False)
+    assert parse_audit(values(loose), strict).first().status == "bad_time"
+
+
+def test_windows_are_half_open_and_aligned(spark):
+    start = 1_514_764_800_000
+    rows = [(start, "t", "X"), (start + 59_999, "t", "X"), (start + 60_000, "t", "X"),
+            (start, "t", "Y"), (start, "s", "X"), (-1, "t", "X")]
+    panes = count_panes(
+        spark.createDataFrame(rows, "event_ms bigint, type string, area string"), ReportRules()
+    )
+    assert sorted(tuple(r) for r in panes.collect()) == sorted([
+        (start, "t", "X", 2, start + 59_999), (start + 60_000, "t", "X", 1, start + 60_000),
+        (start, "t", "Y", 1, start), (start, "s", "X", 1, start), (-60_000, "t", "X", 1, -1),
+    ])
+
+
+def test_documents(spark):
+    panes = spark.createDataFrame(
+        [(0, "t", "X", 2, GOOD_MS), (0, "t", "X", 3, GOOD_MS), (60_000, "t", "X", 1, GOOD_MS)],
+        "window_start_ms bigint, type string, area string, count bigint, max_ms bigint",
+    )
+    plain = as_documents(panes).select(F.to_json(F.struct("*"))).first()[0]
+    assert plain == '{"data":"2018-01-01 00:00:59","type":"t","area":"X","count":2}'
+    ids = [r.doc_id for r in as_documents(panes, with_id=True).collect()]
+    assert ids[0] == ids[1] != ids[2]
