@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from auditflow.functions.text import split_codes
 from auditflow.operators.asof import asof_max
+from auditflow.session import stage
 
 # Batches per bucket of the as-of scan.
 BATCHES_PER_BUCKET = 65_536
@@ -41,13 +42,18 @@ def snapshot_per_batch(batches: DataFrame, codes: DataFrame) -> DataFrame:
     return found.select(F.col("at").alias("batch_id"), F.col("value").alias("version"))
 
 
-def lookup_asof(messages: DataFrame, snapshots: DataFrame) -> DataFrame:
+def lookup_asof(
+    messages: DataFrame, snapshots: DataFrame, batches: DataFrame | None = None
+) -> DataFrame:
     """Add ``version`` and ``area`` to messages that carry ``batch_id`` and ``countryCode``.
 
     Each snapshot replaces the one before it as a whole, so a code it no longer lists misses.
+    ``batches`` may give the batch numbers from a cheaper source than the parsed messages. The
+    version per batch is stored first, so that its true size decides how the messages are joined.
     """
     codes = invert_areas(snapshots, "version")
-    in_force = snapshot_per_batch(messages, codes)
+    batches = messages if batches is None else batches
+    in_force = stage(snapshot_per_batch(batches, codes), "versions")
     return messages.join(in_force, "batch_id", "left").join(
         codes, ["version", "countryCode"], "left"
     )

@@ -12,6 +12,6 @@ def raw_stream(spark: SparkSession, format: str, **options: str) -> DataFrame:
     path); file formats take ``path`` and, to bound a micro-batch, ``maxFilesPerTrigger``.
     """
     reader = spark.readStream.format(format).options(**options)
-    if format in ("parquet", "orc", "json", "csv"):
+    if format in ("parquet", "orc"):
         reader = reader.schema("value string")
     return reader.load().selectExpr("cast(value as string) as value")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditflow.functions.times import TIME_FORMAT
+from auditflow.operators.partitioning import spread
 
 # Snapshot versions of the area table, in months (year * 12 + month), and what each one lists.
 FIRST_SNAPSHOT = 1995 * 12 + 10
@@ -97,13 +98,17 @@ def _items(extra_keys: bool) -> Column:
     return F.when(F.col("l_quantity") < 50, both).otherwise(F.slice(both, 1, 0))
 
 
+def big_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def messages(spark: SparkSession, sf_dir: str, extra_keys: bool = False) -> DataFrame:
     """``(batch_id, value)``: one message per order line; the batch is the month it was shipped.
 
     The country is that of the supplier number, by name or short code. Some part numbers give
     unusable messages: cut short, without ``data``, or with an item that is no object.
     """
-    return messages_from(table(spark, sf_dir, "lineitem"), spark, sf_dir, extra_keys)
+    return messages_from(big_table(spark, sf_dir, "lineitem"), spark, sf_dir, extra_keys)
 
 
 def messages_from(
@@ -140,7 +145,8 @@ def arrival_ms() -> Column:
 
 def audit_events(spark: SparkSession, sf_dir: str, batch_ms: int) -> DataFrame:
     """``(batch_id, value)``: one audit message per event, in arrival batches of ``batch_ms``."""
-    return audit_events_from(table(spark, sf_dir, "events"), spark, sf_dir, arrival_ms(), batch_ms)
+    events = big_table(spark, sf_dir, "events")
+    return audit_events_from(events, spark, sf_dir, arrival_ms(), batch_ms)
 
 
 def audit_events_from(
@@ -166,7 +172,7 @@ def audit_events_from(
 
 def loose_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` with times a lenient reader accepts: unpadded, rolled over, or with a tail."""
-    located = _located(table(spark, sf_dir, "events"), spark, sf_dir)
+    located = _located(big_table(spark, sf_dir, "events"), spark, sf_dir)
     form = F.col("event_id") % 5
 
     def part(name: str) -> Column:

@@ -16,7 +16,7 @@ from auditflow.operators.reporting import (
     window_start,
 )
 from auditflow.operators.rules import ReportRules
-from auditflow.streaming.sinks import ConnectorSink, FolderSink
+from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
 
 _STATE_SCHEMA = (
     "kind string, window_start_ms bigint, type string, area string, "
@@ -40,7 +40,7 @@ class ExactReport:
     """
 
     state_path: str
-    emissions: FolderSink | ConnectorSink
+    emissions: FolderSink | ConnectorSink | DocumentSink
     side: FolderSink | ConnectorSink
     rules: ReportRules = ReportRules()
 

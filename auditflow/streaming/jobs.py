@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from auditflow.functions.times import format_time
 from auditflow.operators.cleaning import cleaned_records
+from auditflow.operators.partitioning import spread
 from auditflow.operators.reporting import parse_audit, usable
 from auditflow.operators.rules import ReportRules
 from auditflow.sources.dimension import AreaDimension
@@ -29,13 +30,13 @@ def clean_job(
 ) -> StreamingQuery:
     """Clean a stream of messages; the dimension is looked up anew for each micro-batch.
 
-    ``sink`` receives ``kind, value`` in one pass over the input, without a shuffle: cleaned
-    records under ``clean``, unusable messages under the name of their problem.
+    ``sink`` receives ``kind, value`` in one pass over the input: cleaned records under ``clean``,
+    unusable messages under the name of their problem.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         codes = dimension.current(batch.sparkSession)
-        sink.write(cleaned_records(batch, codes, on_missing, item_type), batch_id)
+        sink.write(cleaned_records(spread(batch), codes, on_missing, item_type), batch_id)
 
     return (
         raw.writeStream.foreachBatch(run)

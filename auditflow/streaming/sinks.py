@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from auditflow.operators.reporting import as_documents
+
 
 @dataclass(frozen=True)
 class FolderSink:
@@ -48,3 +50,18 @@ class ConnectorSink:
         return rows.select(F.try_element_at(topic, F.col("kind")).alias("topic"), "value").where(
             "topic is not null"
         )
+
+
+@dataclass(frozen=True)
+class DocumentSink:
+    """Turns emissions into result documents ``data, type, area, count`` for another sink.
+
+    ``with_id`` adds ``doc_id``: an index that upserts by it holds the last emission of each pane,
+    one that only appends holds every emission.
+    """
+
+    sink: FolderSink | ConnectorSink
+    with_id: bool = False
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self.sink.write(as_documents(rows, self.with_id), batch_id)
