@@ -166,7 +166,8 @@ in_force AS (
   LEFT JOIN (SELECT DISTINCT version FROM snapshot) s ON s.version <= b.batch_id
   GROUP BY b.batch_id
 )
-SELECT msg.batch_id, msg.dt, msg.code AS "countryCode", f.version, s.r_name AS area
+SELECT msg.batch_id, msg.dt, msg.code AS "countryCode", CAST(f.version AS BIGINT) AS version,
+       s.r_name AS area
 FROM msg JOIN in_force f ON msg.batch_id = f.batch_id
 LEFT JOIN snapshot s ON s.version = f.version AND s.code = msg.code
 WHERE problem IS NULL""",

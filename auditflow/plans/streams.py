@@ -14,7 +14,7 @@ from auditflow.sources import tables
 from auditflow.sources.dimension import AreaDimension
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.jobs import clean_job, native_job, report_job
-from auditflow.streaming.replay import arrivals, replay
+from auditflow.streaming.replay import replay
 from auditflow.streaming.sinks import FolderSink
 
 DRAIN = {"availableNow": True}
@@ -62,7 +62,12 @@ class _Replayed:
             FolderSink(self.side, "text", split_by="kind"), report.RULES,
         )
         self.spark = spark
-        replay(spark, arrivals(tables.audit_events(spark, sf_dir, STREAM_BATCH_MS)), self._start)
+        replay(
+            spark,
+            tables.arrival_batches(spark, sf_dir, STREAM_BATCH_MS),
+            tables.audit_batches(spark, sf_dir, STREAM_BATCH_MS),
+            self._start,
+        )
 
     def _start(self, raw: DataFrame) -> StreamingQuery:
         return report_job(raw, self.report, self.checkpoint, trigger=DRAIN)

@@ -6,6 +6,8 @@ to the query it feeds, and no key, however frequent, is gathered into one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,16 +145,49 @@ def arrival_ms() -> Column:
     return F.unix_millis(F.col("ts").cast("timestamp")) + delay
 
 
+# No event arrives later than this after its time.
+MAX_DELAY_MS = 40 * 300_000
+
+
 def audit_events(spark: SparkSession, sf_dir: str, batch_ms: int) -> DataFrame:
     """``(batch_id, value)``: one audit message per event, in arrival batches of ``batch_ms``."""
     events = big_table(spark, sf_dir, "events")
     return audit_events_from(events, spark, sf_dir, arrival_ms(), batch_ms)
 
 
+def arrival_batches(spark: SparkSession, sf_dir: str, batch_ms: int) -> list[int]:
+    """The numbers of the arrival batches."""
+    batch = whole_part(arrival_ms(), batch_ms).alias("batch_id")
+    rows = table(spark, sf_dir, "events").select(batch).distinct().collect()
+    return [row.batch_id for row in rows]
+
+
+def audit_batches(
+    spark: SparkSession, sf_dir: str, batch_ms: int
+) -> Callable[[int], DataFrame]:
+    """A function from batch number to the messages of that arrival batch.
+
+    The bounds on event time let the scan skip the rest of the table.
+    """
+    events = table(spark, sf_dir, "events")
+    kind = events.schema["ts"].dataType
+    messages = audit_events_from(events, spark, sf_dir, arrival_ms(), batch_ms, "ts")
+
+    def moment(ms: int) -> Column:
+        return F.timestamp_millis(F.lit(ms)).cast(kind)
+
+    def batch(number: int) -> DataFrame:
+        first, last = number * batch_ms - MAX_DELAY_MS, (number + 1) * batch_ms
+        near = F.col("ts").between(moment(first), moment(last))
+        return messages.where(near & (F.col("batch_id") == number)).select("value")
+
+    return batch
+
+
 def audit_events_from(
-    events: DataFrame, spark: SparkSession, sf_dir: str, arrival: Column, batch_ms: int
+    events: DataFrame, spark: SparkSession, sf_dir: str, arrival: Column, batch_ms: int, *keep: str
 ) -> DataFrame:
-    """Audit messages over any reading of the events.
+    """Audit messages over any reading of the events, with the columns to ``keep``.
 
     Some event numbers give rows to be set aside: broken JSON, no type, or a time that is text,
     empty, missing, or exactly the epoch.
@@ -167,7 +202,7 @@ def audit_events_from(
     kind = F.when(event_id % 103 != 0, F.col("event_type"))
     value = F.when(event_id % 101 == 0, F.lit('{"dt":')).otherwise(_audit_json(time, kind))
     batch = whole_part(arrival, batch_ms)
-    return located.select(batch.alias("batch_id"), value.alias("value"))
+    return located.select(batch.alias("batch_id"), value.alias("value"), *keep)
 
 
 def loose_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -11,28 +11,20 @@ from auditflow.session import workspace
 from auditflow.sources.streams import raw_stream
 
 
-def arrivals(rows: DataFrame) -> DataFrame:
-    """Store ``(batch_id, value)`` with one folder per arrival batch, in one pass."""
-    path = workspace(rows.sparkSession, "arrivals")
-    rows.write.partitionBy("batch_id").parquet(path)
-    return rows.sparkSession.read.schema("value string, batch_id bigint").parquet(path)
-
-
 def replay(
     spark: SparkSession,
-    stored: DataFrame,
+    numbers: Iterable[int],
+    batch: Callable[[int], DataFrame],
     start: Callable[[DataFrame], StreamingQuery],
 ) -> None:
     """Land one arrival batch after the other and drain the job after each.
 
-    A file source orders files by time stamp only, so landing is what makes the order of arrival
-    certain on any file system, however many files a batch has. Each round resumes the job from
-    its checkpoint. The driver handles batch numbers only.
+    ``batch`` gives the texts of a batch in ``value`` by its number, ``start`` starts the job on a
+    stream of texts. A file source orders files by time stamp only, so landing is what makes the
+    order of arrival certain on any file system, however many files a batch has. Each round
+    resumes the job from its checkpoint.
     """
     landing = workspace(spark, "landing")
-    numbers = [r.batch_id for r in stored.select("batch_id").distinct().collect()]
     for number in sorted(numbers):
-        stored.where(stored.batch_id == number).select("value").write.mode("append").parquet(
-            landing
-        )
+        batch(number).write.mode("append").parquet(landing)
         start(raw_stream(spark, "parquet", path=landing)).awaitTermination()
