@@ -44,10 +44,10 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     dimension = AreaDimension(lambda session: tables.areas(session, sf_dir))
     out = workspace(spark, "clean")
     clean_job(
-        raw.select("value"), dimension, FolderSink(out, "text", split_by="kind"),
+        raw.select("value"), dimension, FolderSink(out, split_by="kind"),
         workspace(spark, "checkpoint"), trigger=DRAIN,
     ).awaitTermination()
-    records = spark.read.schema(_SIDE).text(out).where("kind = 'clean'")
+    records = spark.read.schema(_SIDE).parquet(out).where("kind = 'clean'")
     return clean.read_records(records, clean.RECORD)
 
 
@@ -59,7 +59,7 @@ class _Replayed:
         self.checkpoint = workspace(spark, "checkpoint")
         self.report = report_class(
             workspace(spark, "state"), FolderSink(self.emitted),
-            FolderSink(self.side, "text", split_by="kind"), report.RULES,
+            FolderSink(self.side, split_by="kind"), report.RULES,
         )
         self.spark = spark
         replay(
@@ -80,7 +80,7 @@ class _Replayed:
         )
 
     def aside(self) -> DataFrame:
-        return self.spark.read.schema(_SIDE).text(self.side)
+        return self.spark.read.schema(_SIDE).parquet(self.side)
 
 
 def stream_report_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,9 @@ from auditflow.operators.reporting import (
 from auditflow.operators.rules import ReportRules
 from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
 
+# At most 2 ** COPY_BITS copies of a set-aside text are counted as one.
+COPY_BITS = 20
+
 _STATE_SCHEMA = (
     "kind string, window_start_ms bigint, type string, area string, "
     "count bigint, max_ms bigint, touched boolean, batch_id bigint"
@@ -32,7 +35,7 @@ class ExactReport:
     watermark of one batch earlier; so open panes are kept here as a small table instead. A batch
     reads only the state its predecessor left and writes its own outputs by overwriting, state
     last, so a batch that is replayed after a failure leaves the same result. State lives in two
-    places in turn and holds open panes, not events. One row of numbers reaches the driver.
+    places in turn and holds open panes, not events. One number reaches the driver.
 
     ``emissions`` receives ``window_start_ms, type, area, count, max_ms`` for every firing and
     refiring; ``side`` receives ``kind, value``: too-late rows as tab-joined lines under ``late``,
@@ -49,35 +52,40 @@ class ExactReport:
         held, seen_before = self._held(spark, batch_id)
         rows = self._classified(batch, seen_before)
 
-        # One pass over the rows, counted before the shuffle; all later steps work on panes.
+        # One pass over the rows, counted before the shuffle; all later steps work on its result.
+        # Rows to set aside go along by their text, in pieces of bounded size.
+        piece = F.shiftright(F.monotonically_increasing_id(), COPY_BITS)
         ones = rows.select(
-            "kind", *PANE_KEY, F.lit(1).cast("bigint").alias("count"),
-            F.col("event_ms").alias("max_ms"), F.lit(True).alias("touched"),
+            "kind", *PANE_KEY, "value", F.when(F.col("kind") != "pane", piece).alias("piece"),
+            F.lit(1).cast("bigint").alias("count"), F.col("event_ms").alias("max_ms"),
+            F.lit(True).alias("touched"),
         )
-        merged = ones.unionByName(held).groupBy("kind", *PANE_KEY).agg(
-            F.sum("count").alias("count"),
-            F.max("max_ms").alias("max_ms"),
-            F.max("touched").alias("touched"),
+        merged = (
+            ones.unionByName(held, allowMissingColumns=True)
+            .groupBy("kind", *PANE_KEY, "value", "piece")
+            .agg(
+                F.sum("count").alias("count"),
+                F.max("max_ms").alias("max_ms"),
+                F.max("touched").alias("touched"),
+            )
         )
         merged = self._stored(spark, merged, f"{self.state_path}/merged")
 
-        is_pane = F.col("kind") == "pane"
-        numbers = merged.agg(
-            F.max(F.when(F.col("kind").isin("pane", "late"), F.col("max_ms"))).alias("seen"),
-            F.coalesce(F.sum(F.when(~is_pane, F.col("count"))), F.lit(0)).alias("aside"),
-        ).first()
+        seen_now = merged.where("kind in ('pane', 'late')").agg(F.max("max_ms")).first()[0]
         # Held panes are no newer than what was seen before, so they do not move the maximum.
-        seen = max((m for m in (seen_before, numbers.seen) if m is not None), default=None)
+        seen = max((m for m in (seen_before, seen_now) if m is not None), default=None)
 
-        self._emit(merged.where(is_pane), seen_before, seen, batch_id)
-        self._set_aside(rows, numbers.aside, batch_id)
-        self._hold(spark, merged.where(is_pane), seen, batch_id)
+        panes = merged.where("kind = 'pane'").select(*PANE_KEY, "count", "max_ms", "touched")
+        self._emit(panes, seen_before, seen, batch_id)
+        self._set_aside(merged.where("kind <> 'pane'"), batch_id)
+        self._hold(spark, panes, seen, batch_id)
 
     def _watermark(self, seen: int | None) -> int | None:
         return None if seen is None else max(seen, 0) - self.rules.delay_ms
 
     def _classified(self, batch: DataFrame, seen_before: int | None) -> DataFrame:
-        """Kind, window, type and area of each row; rows to set aside keep their text."""
+        """``kind`` and ``event_ms`` of each row; window, type and area of those that count, and the
+        text of those to set aside."""
         audit = parse_audit(batch, self.rules)
         start = window_start(F.col("event_ms"), self.rules)
         wm_before = F.lit(self._watermark(seen_before)).cast("bigint")
@@ -97,7 +105,8 @@ class ExactReport:
             of_pane(F.col("_start")).alias("window_start_ms"),
             of_pane(F.col("type")).alias("type"),
             of_pane(F.col("area")).alias("area"),
-            "event_ms", "value",
+            "event_ms",
+            F.when(F.col("kind") != "pane", F.col("value")).alias("value"),
         )
 
     def _emit(
@@ -111,12 +120,10 @@ class ExactReport:
         fired = panes.where(passed & (F.col("touched") | first_time))
         self.emissions.write(fired.select(*PANE_KEY, "count", "max_ms"), batch_id)
 
-    def _set_aside(self, rows: DataFrame, how_many: int, batch_id: int) -> None:
-        """Late and unusable rows; the second pass over the batch runs only if there are any."""
-        aside = rows.where("kind <> 'pane'").select("kind", "value")
-        if not how_many:
-            aside = aside.sparkSession.createDataFrame([], aside.schema)
-        self.side.write(aside, batch_id)
+    def _set_aside(self, counted: DataFrame, batch_id: int) -> None:
+        """Late and unusable rows, each as often as it came."""
+        copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count")))
+        self.side.write(counted.select("kind", "value", copies).drop("col"), batch_id)
 
     def _hold(self, spark, panes: DataFrame, seen: int | None, batch_id: int) -> None:
         """Keep panes that may still change, and last of all mark the batch as done."""
@@ -127,7 +134,9 @@ class ExactReport:
         mark = spark.createDataFrame(
             [("mark", None, None, None, None, seen, None, batch_id)], _STATE_SCHEMA
         )
-        kept = open_panes.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        kept = open_panes.select(
+            F.lit("pane").alias("kind"), "*", F.lit(batch_id).cast("bigint").alias("batch_id")
+        )
         kept.unionByName(mark).write.mode("overwrite").parquet(self._slot(batch_id))
 
     def _held(self, spark, batch_id: int) -> tuple[DataFrame, int | None]:

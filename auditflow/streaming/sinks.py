@@ -22,7 +22,9 @@ class FolderSink:
     split_by: str | None = None
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
+        # The whole folder is replaced, whatever the session says about partitions.
         writer = rows.write.mode("overwrite").format(self.format)
+        writer = writer.option("partitionOverwriteMode", "static")
         if self.split_by:
             writer = writer.partitionBy(self.split_by)
         writer.save(f"{self.path}/batch_id={batch_id}")

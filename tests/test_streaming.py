@@ -10,6 +10,7 @@ from test_lateness import random_batches
 from auditflow.operators.rules import ReportRules
 from auditflow.sources.dimension import AreaDimension
 from auditflow.sources.streams import raw_stream
+from auditflow.streaming import exact
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.jobs import clean_job, native_job, report_job
 from auditflow.streaming.sinks import ConnectorSink, FolderSink
@@ -79,8 +80,8 @@ class FailsAtEachStep(ExactReport):
         super()._emit(panes, seen_before, seen, batch_id)
         self._fail_once(0, batch_id)
 
-    def _set_aside(self, rows, how_many, batch_id):
-        super()._set_aside(rows, how_many, batch_id)
+    def _set_aside(self, counted, batch_id):
+        super()._set_aside(counted, batch_id)
         self._fail_once(1, batch_id)
 
     def _hold(self, spark, panes, seen, batch_id):
@@ -113,6 +114,24 @@ def test_unusable_rows_are_set_aside(spark, tmp_path):
     assert feed.emissions() == [(2, golden.DAY_MS, "a", "X", 1, golden.ms("00:00:05"))]
 
 
+def test_every_copy_of_a_row_is_kept(spark, tmp_path, values, monkeypatch):
+    monkeypatch.setattr(exact, "COPY_BITS", 1)
+    feed = Feed(spark, tmp_path)
+    feed.report(values(golden.message("00:10:00")), 0)
+    late, good = golden.message("00:00:05"), golden.message("00:09:30")
+    feed.report(values(*["{bad"] * 7, *[late] * 5, *[good] * 3, None, None), 1)
+    feed.report(values(golden.message("00:12:00")), 2)
+    assert feed.emissions() == [
+        (2, golden.ms("00:09:00"), "a", "X", 3, golden.ms("00:09:30")),
+        (2, golden.ms("00:10:00"), "a", "X", 1, golden.ms("00:10:00")),
+    ]
+    line = f"{golden.ms('00:00:05')}\ta\tX"
+    side = feed.side()
+    assert side.count((1, "malformed", "{bad")) == 7
+    assert side.count((1, "late", line)) == 5
+    assert len(side) == 14
+
+
 def test_state_of_another_batch_is_refused(spark, tmp_path, values):
     report = Feed(spark, tmp_path).report
     report(values(golden.message("00:00:05")), 0)
