@@ -3,7 +3,7 @@
 Sources and sinks are given as a Spark format and its options, for example
 ``--source kafka kafka.bootstrap.servers=host:9092 subscribe=messages`` or
 ``--sink text path=/data/out``. A sink without a ``path`` is taken for a connector, where
-``topic.KIND=NAME`` names the topic of each kind of row.
+``topic.KIND=NAME`` names the topic of each kind of row, ``topic.*=NAME`` that of all others.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ def running_max(df: DataFrame, order: str, value: str, width: int) -> DataFrame:
 
     ``order`` must be unique. The line of order values is cut into buckets of ``width``; each
     bucket is scanned on its own, and only the bucket maxima (one row per bucket) are scanned
-    together, so the unpartitioned window sees ``range / width`` rows.
+    together, so the unpartitioned window sees ``range / width`` rows. ``df`` is read twice and
+    should be a stored table or cheap to derive from one.
     """
     bucketed = df.withColumn("_bucket", F.col(order) - F.pmod(F.col(order), F.lit(width)))
     inside = Window.partitionBy("_bucket").orderBy(order)

@@ -48,11 +48,13 @@ def lookup_asof(
     """Add ``version`` and ``area`` to messages that carry ``batch_id`` and ``countryCode``.
 
     Each snapshot replaces the one before it as a whole, so a code it no longer lists misses.
-    ``batches`` may give the batch numbers from a cheaper source than the parsed messages. The
-    version per batch is stored first, so that its true size decides how the messages are joined.
+    ``batches`` may give the batch numbers from a cheaper source than the parsed messages. They are
+    read once, and the version per batch is stored so that its true size decides how the messages
+    are joined.
     """
     codes = invert_areas(snapshots, "version")
     batches = messages if batches is None else batches
+    batches = stage(batches.select("batch_id").distinct(), "batches")
     in_force = stage(snapshot_per_batch(batches, codes), "versions")
     return messages.join(in_force, "batch_id", "left").join(
         codes, ["version", "countryCode"], "left"

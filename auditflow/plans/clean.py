@@ -42,7 +42,7 @@ def dim_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_snapshot_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lookup_asof(
         _parsed(spark, sf_dir), tables.area_snapshots(spark, sf_dir),
-        batches=tables.messages(spark, sf_dir).select("batch_id"),
+        batches=tables.message_batches(spark, sf_dir),
     )
     return found.select("batch_id", "dt", "countryCode", "version", "area")
 

@@ -8,6 +8,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Set on every session this package builds; all may be overridden by the cluster.
 SETTINGS = {
@@ -66,3 +68,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = workspace(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def one_row(spark: SparkSession, schema: str, **values: object) -> DataFrame:
+    """A single row made by Spark itself, in one partition; values not given are null."""
+    fields = StructType.fromDDL(schema)
+    return spark.range(0, 1, 1, 1).select(
+        *(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in fields)
+    )
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table, known to the planner as such."""
+    return one_row(spark, schema).where(F.lit(False))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from auditflow.operators.dimension import invert_areas
-from auditflow.session import workspace
+from auditflow.session import no_rows, workspace
 
 log = logging.getLogger(__name__)
 
@@ -44,7 +44,7 @@ class AreaDimension:
             self._read_at = self._clock()
             self._reload(spark)
         if self._slot < 0:
-            return spark.createDataFrame([], CODES_SCHEMA)
+            return no_rows(spark, CODES_SCHEMA)
         return self._stored(spark, self._slot)
 
     def _reload(self, spark: SparkSession) -> None:

@@ -113,6 +113,15 @@ def messages(spark: SparkSession, sf_dir: str, extra_keys: bool = False) -> Data
     return messages_from(big_table(spark, sf_dir, "lineitem"), spark, sf_dir, extra_keys)
 
 
+def _month() -> Column:
+    return (F.year("l_shipdate") * 12 + F.month("l_shipdate")).cast("bigint").alias("batch_id")
+
+
+def message_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``batch_id`` of every message, from the one column it depends on."""
+    return table(spark, sf_dir, "lineitem").select(_month())
+
+
 def messages_from(
     lines: DataFrame, spark: SparkSession, sf_dir: str, extra_keys: bool = False
 ) -> DataFrame:
@@ -133,8 +142,7 @@ def messages_from(
         .when(fault == 2, F.to_json(F.struct(*header, F.array(F.lit(1)).alias("data"))))
         .otherwise(whole)
     )
-    month = F.year("l_shipdate") * 12 + F.month("l_shipdate")
-    return located.select(month.cast("bigint").alias("batch_id"), value.alias("value"))
+    return located.select(_month(), value.alias("value"))
 
 
 def arrival_ms() -> Column:

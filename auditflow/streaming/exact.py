@@ -16,6 +16,7 @@ from auditflow.operators.reporting import (
     window_start,
 )
 from auditflow.operators.rules import ReportRules
+from auditflow.session import no_rows, one_row
 from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
 
 # At most 2 ** COPY_BITS copies of a set-aside text are counted as one.
@@ -131,9 +132,7 @@ class ExactReport:
         if seen is not None:
             expires = window_last(F.col("window_start_ms"), self.rules) + self.rules.lateness_ms
             open_panes = panes.where(expires > self._watermark(seen))
-        mark = spark.createDataFrame(
-            [("mark", None, None, None, None, seen, None, batch_id)], _STATE_SCHEMA
-        )
+        mark = one_row(spark, _STATE_SCHEMA, kind="mark", max_ms=seen, batch_id=batch_id)
         kept = open_panes.select(
             F.lit("pane").alias("kind"), "*", F.lit(batch_id).cast("bigint").alias("batch_id")
         )
@@ -143,7 +142,7 @@ class ExactReport:
         """The predecessor's open panes and the latest event time seen by then."""
         columns = ["kind", *PANE_KEY, "count", "max_ms", "touched"]
         if batch_id == 0:
-            return spark.createDataFrame([], _STATE_SCHEMA).select(*columns), None
+            return no_rows(spark, _STATE_SCHEMA).select(*columns), None
         state = spark.read.schema(_STATE_SCHEMA).parquet(self._slot(batch_id - 1))
         marks = state.where("kind = 'mark'").take(2)
         if len(marks) != 1 or marks[0].batch_id != batch_id - 1:

@@ -35,7 +35,8 @@ class ConnectorSink:
     """An external system reached by a Spark connector that must be on the class path.
 
     A replayed batch is sent again, so delivery is at least once unless the system upserts by a
-    key (``doc_id``). For a message bus, ``topics`` names the topic of each kind of row.
+    key (``doc_id``). For a message bus, ``topics`` names the topic of each kind of row, and under
+    ``*`` that of all other kinds; a kind without a topic stops the job rather than being lost.
     """
 
     format: str
@@ -48,10 +49,13 @@ class ConnectorSink:
     def addressed(self, rows: DataFrame) -> DataFrame:
         if not self.topics:
             return rows
-        topic = F.create_map(*(F.lit(part) for pair in self.topics.items() for part in pair))
-        return rows.select(F.try_element_at(topic, F.col("kind")).alias("topic"), "value").where(
-            "topic is not null"
+        named = F.create_map(*(F.lit(part) for pair in self.topics.items() for part in pair))
+        missing = F.raise_error(F.concat(F.lit("no topic for rows of kind "), "kind"))
+        topic = F.coalesce(
+            F.try_element_at(named, F.col("kind")), F.try_element_at(named, F.lit("*")),
+            missing.cast("string"),
         )
+        return rows.select(topic.alias("topic"), "value")
 
 
 @dataclass(frozen=True)

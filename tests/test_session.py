@@ -17,7 +17,8 @@ def test_workspace_is_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = workspace(spark, "x"), workspace(spark, "x")
     assert first.startswith(f"{shared}/auditflow/x-") and first != second
-    assert workspace(fake_session("yarn", "hdfs://h/cp/"), "x").startswith("hdfs://h/cp/auditflow/x-")
+    on_cluster = workspace(fake_session("yarn", "hdfs://h/cp/"), "x")
+    assert on_cluster.startswith("hdfs://h/cp/auditflow/x-")
 
 
 def test_a_cluster_must_name_its_shared_folder():

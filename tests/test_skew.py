@@ -23,8 +23,9 @@ def key():
 
 
 def test_hot_country_without_broadcast(spark, no_broadcast):
-    country = F.concat(F.lit('{"dt":"t","countryCode":"'), key(), F.lit('","data":[{"n":1},{"n":2}]}'))
-    messages = spark.range(0, ROWS, 1, 6).select(country.alias("value"))
+    items = F.lit('","data":[{"n":1},{"n":2}]}')
+    text = F.concat(F.lit('{"dt":"t","countryCode":"'), key(), items)
+    messages = spark.range(0, ROWS, 1, 6).select(text.alias("value"))
     codes = spark.createDataFrame(
         [("hot", "H")] + [(f"k{i}", f"A{i}") for i in range(0, 50, 2)],
         "countryCode string, area string",

@@ -201,10 +201,12 @@ def test_connector_rows_carry_their_topic(spark):
     rows = spark.createDataFrame(
         [("clean", "1"), ("malformed", "2"), ("no_data", "3")], "kind string, value string"
     )
-    sink = ConnectorSink("kafka", topics={"clean": "cleaned", "malformed": "rejects"})
+    sink = ConnectorSink("kafka", topics={"clean": "cleaned", "*": "rejects"})
     assert [tuple(r) for r in sink.addressed(rows).collect()] == [
-        ("cleaned", "1"), ("rejects", "2")
+        ("cleaned", "1"), ("rejects", "2"), ("rejects", "3")
     ]
+    with pytest.raises(Exception, match="no topic for rows of kind"):
+        ConnectorSink("kafka", topics={"clean": "cleaned"}).addressed(rows).collect()
     assert ConnectorSink("jdbc").addressed(rows).columns == ["kind", "value"]
 
 
