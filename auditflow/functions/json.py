@@ -13,14 +13,11 @@ LENIENT_JSON = {
 }
 
 
-def without_keys(item: Column, *keys: str, struct: bool = False) -> Column:
-    """An object without the given keys; null if it is no object.
+def without_keys(item: Column, *keys: str) -> Column:
+    """A variant object as a map without the given keys and without null values.
 
-    A struct loses those fields. A variant becomes a map that has no null values either; its
-    values stay variants, so numbers keep their digits.
+    Null if the variant is no object. The values stay variants, so numbers keep their digits.
     """
-    if struct:
-        return item.dropFields(*keys)
     members = item.try_cast("map<string,variant>")
     return F.map_filter(members, lambda k, v: ~k.isin(*keys) & ~F.is_variant_null(v))
 

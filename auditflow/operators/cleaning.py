@@ -74,13 +74,16 @@ def cleaned_records(
     ``bad_item``.
     """
     rows = explode_items(enrich(parse_messages(df, item_type), codes, on_missing))
-    own = F.to_json(without_keys(F.col("item"), "area", "dt", struct=item_type is not None))
-    written = with_once(rows, "_own", F.when(F.col("problem").isNull(), own))
-    added = F.to_json(F.struct("area", "dt"))
-    unread = F.when(F.col("_own").isNull(), "bad_item").otherwise("clean")
-    return written.select(
-        F.coalesce("problem", unread).alias("kind"),
-        F.coalesce(
-            merge_objects(added, F.col("_own")), F.col("raw"), F.to_json("item"), F.lit("null")
-        ).alias("value"),
+    item, area, dt = F.col("item"), F.col("area"), F.col("dt")
+    if item_type:
+        no_object = item.isNull()
+        text = F.to_json(item.withField("area", area).withField("dt", dt))
+    else:
+        rows = with_once(rows, "_own", F.to_json(without_keys(item, "area", "dt")))
+        no_object = F.col("_own").isNull()
+        text = merge_objects(F.to_json(F.struct(area, dt)), F.col("_own"))
+    read = F.when(no_object, "bad_item").otherwise("clean")
+    return rows.select(
+        F.coalesce("problem", read).alias("kind"),
+        F.coalesce(text, "raw", F.to_json(item), F.lit("null")).alias("value"),
     )
