@@ -23,11 +23,14 @@ def oracle():
     return con
 
 
+OWN = sorted(set(entry_points.queries()) - set(entry_points.TEXT_QUERIES))
+
+
 def test_every_query_has_a_counterpart():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(OWN) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_same_rows_as_sql(spark, oracle, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
