@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from auditflow.llm import simhash, token_counts
+from auditflow.llm import language_id, order_minhash, simhash, token_counts
 
 QUERIES = {
+    "op2_language_id": language_id.op2_language_id,
+    "op3_document_fingerprints": order_minhash.op3_document_fingerprints,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
