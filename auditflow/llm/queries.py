@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from auditflow.llm import language_id, mixing, order_minhash, simhash, token_counts
+from auditflow.llm import language_id, mixing, order_minhash, simhash, token_counts, warc
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_document_fingerprints": order_minhash.op3_document_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_warc": warc.op8_warc,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op5_mixing": mixing.OP5_SQL,
+    "op8_warc": warc.OP8_SQL,
 }
