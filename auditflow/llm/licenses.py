@@ -189,7 +189,8 @@ def _sql() -> str:
     keys = {key: key.split() for t in TEMPLATES for key in t.keys}
     names = {key: f"k{i}" for i, key in enumerate(keys)}
     starts = ",\n  ".join(
-        f"list_filter(range(0, len(w) - {len(ws) - 1}), lambda i: w[i + 1] = '{ws[0]}' AND w[i + 1:i + {len(ws)}] = {quoted(ws)}) AS {names[k]}"
+        f"CASE WHEN contains(line, ' {k} ') THEN list_filter(range(0, len(w)), "
+        f"lambda i: w[i + 1] = '{ws[0]}' AND w[i + 1:i + {len(ws)}] = {quoted(ws)}) ELSE [] END AS {names[k]}"
         for k, ws in keys.items()
     )
 
@@ -223,7 +224,7 @@ WITH words AS (
   FROM vocabulary v LEFT JOIN counted c ON c.word = v.word
 ), placed AS (SELECT *,
   {starts}
-  FROM words CROSS JOIN weights
+  FROM (SELECT *, ' ' || array_to_string(w, ' ') || ' ' AS line FROM words) CROSS JOIN weights
 ), labelled AS (
   SELECT *, list_concat({", ".join(followed(t) for t in base)}) AS base,
     concat_ws(',', {found(base)}) AS base_labels, concat_ws(',', {found(TEMPLATES)}) AS labels FROM placed

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from auditflow.llm import language_id, licenses, mixing, order_minhash, simhash, token_counts, warc
+from auditflow.llm import decontaminate, language_id, licenses, mixing, order_minhash, simhash, token_counts, warc
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
@@ -12,10 +12,12 @@ QUERIES = {
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_warc": warc.op8_warc,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
+    "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {
     "op4_license_scans": licenses.OP4_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op8_warc": warc.OP8_SQL,
+    "op10_benchmark_decontamination": decontaminate.OP10_SQL,
 }
