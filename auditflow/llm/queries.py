@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from auditflow.llm import decontaminate, language_id, licenses, mixing, order_minhash, simhash, token_counts, warc
+from auditflow.llm import decontaminate, language_id, licenses, mixing, order_minhash, simhash, substring_dedup, token_counts, warc
 
 QUERIES = {
     "op2_language_id": language_id.op2_language_id,
     "op3_document_fingerprints": order_minhash.op3_document_fingerprints,
     "op4_license_scans": licenses.op4_license_scans,
     "op5_mixing": mixing.op5_mixing,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_warc": warc.op8_warc,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op4_license_scans": licenses.OP4_SQL,
     "op5_mixing": mixing.OP5_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
     "op10_benchmark_decontamination": decontaminate.OP10_SQL,
 }
