@@ -10,7 +10,8 @@ import regex
 
 # Fixed value: how byte-level vocabularies of this family part a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT = 300_000
+# Pieces, and pairs of tokens, that a process remembers.
+KEPT = 700_000
 
 
 def _bytes_of_letters() -> dict[str, int]:
@@ -37,52 +38,77 @@ class Encoder:
         letters = _bytes_of_letters()
         raw = lambda token: bytes(letters[c] for c in token)
         pairs = (m.split(" ") if isinstance(m, str) else m for m in parsed["model"]["merges"])
-        self.rank = {(raw(a), raw(b)): n for n, (a, b) in enumerate(pairs)}
+        merges = [(raw(a), raw(b)) for a, b in pairs]
+        self.rank = {merge: n for n, merge in enumerate(merges)}
+        self.made = {a + b: (a, b, n) for n, (a, b) in reversed(list(enumerate(merges)))}
         self.tokens = {raw(t) for t in parsed["model"]["vocab"] if all(c in letters for c in t)}
         self.longest = max(map(len, self.tokens))
         special = [t["content"] for t in parsed["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pieces = regex.compile(PATTERN).findall
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
-        self._tables: dict[str, tuple[int, ...]] = {}
+        self._spines: dict[tuple[bytes, int], list[tuple[bytes, float]]] = {}
+        self._tables: dict[str, bytes | tuple[int, ...]] = {}
 
-    def _goes_with(self, left: bytes, right: bytes) -> bool:
-        """Whether the bytes of the two tokens encode to just these two."""
-        known = self._pairs.get((left, right))
+    def _spine(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
+        """The parts a token had at one edge while it was put together, and when each was taken up."""
+        known = self._spines.get((token, side))
         if known is None:
-            parts = [bytes([b]) for b in left + right]
-            while len(parts) > 1:
-                ranks = [self.rank.get(p, self.rank.__len__()) for p in zip(parts, parts[1:])]
-                at = min(range(len(ranks)), key=ranks.__getitem__)
-                if ranks[at] == len(self.rank):
+            part, until, known = token, float("inf"), []
+            while True:
+                known.append((part, until))
+                if part not in self.made:
                     break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            known = parts == [left, right]
-            if len(self._pairs) >= KEPT:
-                self._pairs.clear()
-            self._pairs[left, right] = known
+                until = self.made[part][2]
+                part = self.made[part][side]
+            self._spines[token, side] = known
         return known
 
-    def table(self, piece: str) -> tuple[int, ...]:
+    def _goes_with(self, left: bytes, right: bytes) -> bool:
+        """Whether the bytes of the two tokens encode to just these two.
+
+        They do unless two parts that meet at the border merge before either is taken up by its own
+        token. Of equal merges the one further left is done first.
+        """
+        rank = self.rank
+        return not any(
+            (n := rank.get((a, b))) is not None and n < a_until and n <= b_until
+            for a, a_until in self._spine(left, 1)
+            for b, b_until in self._spine(right, 0)
+        )
+
+    def table(self, piece: str) -> bytes | tuple[int, ...]:
         """Token counts of the prefixes of 0, 1, 2, … bytes of one piece."""
         found = self._tables.get(piece)
-        if found is None:
-            data = piece.encode("utf-8", "surrogatepass")
-            last, counts = [b""], [0]
-            for end in range(1, len(data) + 1):
-                for start in range(max(0, end - self.longest), end):
-                    token = data[start:end]
-                    if token in self.tokens and (not start or self._goes_with(last[start], token)):
-                        last.append(token)
-                        counts.append(counts[start] + 1)
-                        break
-                else:
-                    raise ValueError(f"the vocabulary has no token for byte {data[end - 1]}")
-            found = tuple(counts)
-            if len(self._tables) >= KEPT:
-                self._tables.clear()
-            if len(data) <= 256:
-                self._tables[piece] = found
+        if found is not None:
+            return found
+        data = piece.encode("utf-8", "surrogatepass")
+        tokens, pairs, longest = self.tokens, self._pairs, self.longest
+        last, counts = [b""], [0]
+        for end in range(1, len(data) + 1):
+            for start in range(end - longest if end > longest else 0, end):
+                token = data[start:end]
+                if token not in tokens:
+                    continue
+                if start:
+                    pair = (last[start], token)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = pairs[pair] = self._goes_with(*pair)
+                    if not fits:
+                        continue
+                last.append(token)
+                counts.append(counts[start] + 1)
+                break
+            else:
+                raise ValueError(f"the vocabulary has no token for byte {data[end - 1]}")
+        if len(pairs) > KEPT:
+            pairs.clear()
+        if len(data) > 128:
+            return tuple(counts)
+        if len(self._tables) >= KEPT:
+            self._tables.clear()
+        found = self._tables[piece] = bytes(counts)
         return found
 
     def segments(self, text: str) -> list[tuple[str, bool]]:
@@ -110,10 +136,11 @@ class Prefixes:
         self.encoder, self.text = encoder, text
         self.pieces: list[str] = []
         counts: list[int] = []
+        table = encoder.table
         for part, special in encoder.segments(text):
             split = [part] if special else encoder.pieces(part)
             self.pieces += split
-            counts += [1] if special else [encoder.table(p)[-1] for p in split]
+            counts += [1] if special else [table(p)[-1] for p in split]
         self.counts = [0, *accumulate(counts)]
 
     @property
