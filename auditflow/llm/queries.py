@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from auditflow.llm import decontaminate, language_id, licenses, mixing, order_minhash, simhash, substring_dedup, token_counts, warc
+from auditflow.llm import (
+    decontaminate,
+    language_id,
+    licenses,
+    line_dedup,
+    mixing,
+    order_minhash,
+    simhash,
+    substring_dedup,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_language_id": language_id.op2_language_id,
     "op3_document_fingerprints": order_minhash.op3_document_fingerprints,
     "op4_license_scans": licenses.op4_license_scans,
@@ -17,6 +29,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op4_license_scans": licenses.OP4_SQL,
     "op5_mixing": mixing.OP5_SQL,
     "op6_substring_dedup": substring_dedup.OP6_SQL,
