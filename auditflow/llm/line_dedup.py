@@ -192,7 +192,8 @@ def line_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the lines that stay, in their order; columns as in ``docs``.
 
-    A document that loses all its lines with words goes. A null text stays null.
+    A document that loses all its lines with words goes. A null text stays null. A column ``n_chars``
+    is set to the length of the new text.
     """
     kept = stage(kept_lines(docs, similarity), "lines-kept").select(
         F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("kept").alias("__kept")
@@ -209,7 +210,10 @@ def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> D
     text = F.array_join(F.transform(order, lambda i: F.get(lines, i)), "\n")
     had_words = ~_blank(F.col("text"))
     left = joined.where(F.col("text").isNull() | ~had_words | F.col("__kept").isNotNull())
-    return with_columns_of(left.withColumn("text", text), docs)
+    out = left.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return with_columns_of(out, docs)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
