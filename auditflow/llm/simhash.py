@@ -188,14 +188,14 @@ def keep_one(docs: DataFrame, **settings: int) -> DataFrame:
     rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_hash", "n")).alias("f")
     chosen = stage(rows.groupBy("root").agg(first).select("root", "f.*"), "simhash-kept").select(
-        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), F.col("root").alias("__root"), "n"
+        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"), F.col("root").alias("__root"), F.col("n").alias("__n")
     )
 
     def of(which: DataFrame) -> DataFrame:
         same = docs["doc_id"].eqNullSafe(which["__doc"]) & (F.xxhash64(docs["text"]) == which["__text"])
         return docs.join(which, same)
 
-    single, repeated = of(chosen.where("n = 1")), of(chosen.where("n > 1")).dropDuplicates(["__root"])
+    single, repeated = of(chosen.where("__n = 1")), of(chosen.where("__n > 1")).dropDuplicates(["__root"])
     return with_columns_of(single, docs).unionByName(with_columns_of(repeated, docs))
 
 
