@@ -5,14 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unquoted keys and single quotes are accepted; a text that is not one object lands in ``_bad``.
+# Unquoted keys and single quotes are accepted.
 LENIENT_JSON = {
-    "columnNameOfCorruptRecord": "_bad",
     "allowUnquotedFieldNames": "true",
     "allowSingleQuotes": "true",
 }
 
 
+# Numbers that no decimal or double holds as they are written: more than 38 digits, an exponent of
+# three digits or more, or one after more digits than a double has.
+_HUGE = r"[0-9](?:\.?[0-9]){38,}|[0-9](?:\.?[0-9]){16,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
+
+_STRING = r'"(?:[^"\\]|\\.)*"'
+
+
+def one_object(text: Column, fields: str) -> Column:
+    """The object a text consists of, read by a schema; null unless the text is exactly one object.
+
+    A parser stops after the first value. Inside brackets all of the text is one array, so more than
+    one object, an array, a bare value and text after the object are told apart.
+    """
+    found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{fields}>>", LENIENT_JSON)
+    # Through a variable, so that the text is parsed once.
+    return F.get(F.transform(F.array(found), lambda all_: F.when(F.size(all_) == 1, F.get(all_, 0))), 0)
+
+
+def may_lose_digits(text: Column, items: Column) -> Column:
+    """Whether variants read from the text may hold a number that is not as it was written."""
+    return text.rlike(_HUGE) & F.exists(items, lambda item: F.schema_of_variant(item).contains("DOUBLE"))
+
+
+def without_null_members(text: Column) -> Column:
+    """JSON text without blanks, less the members that are null, at every depth.
+
+    Array elements stay. A text with a string that begins with ``:null`` is left as it is, since its
+    quotes cannot be told from those around a name.
+    """
+    followed = F.regexp_replace(text, f",{_STRING}:null(?=[,}}])", "")
+    plain = F.regexp_replace(followed, r"\{" + f"{_STRING}:null,?", "{")
+    return F.when(text.contains('":null') & ~text.rlike(r'[\[,:{]":null'), plain).otherwise(text)
+
+
 def without_keys(item: Column, *keys: str) -> Column:
     """A variant object as a map without the given keys and without null values.
 

@@ -6,27 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
-from auditflow.functions.json import LENIENT_JSON, merge_objects, without_keys
+from auditflow.functions.json import (
+    may_lose_digits,
+    merge_objects,
+    one_object,
+    without_keys,
+    without_null_members,
+)
 
 
 def parse_messages(df: DataFrame, item_type: str | None = None) -> DataFrame:
     """Parse ``value`` into ``dt``, ``countryCode`` and ``items``; other columns are kept.
 
-    Items are variants: objects with any keys and numbers of any precision. With a declared
-    ``item_type`` (a struct) only its keys are read, which is faster.
+    Items are variants: objects with any keys. With a declared ``item_type`` (a struct) only its keys
+    are read, which is faster.
 
-    ``problem`` is null for a usable message, else ``malformed`` (not one JSON object, or ``data``
-    is no array) or ``no_data``. The raw text is kept only for messages with a problem, so
-    exploding does not copy it.
+    ``problem`` is null for a usable message, else ``malformed`` (not exactly one JSON object),
+    ``no_data`` (missing, or no array) or, without a declared type, ``bad_number``: a number that
+    neither 38 digits nor a double hold as it is written. The raw text is kept only for messages with
+    a problem, so exploding does not copy it.
     """
     keep = [c for c in df.columns if c != "value"]
-    schema = f"dt string, countryCode string, data array<{item_type or 'variant'}>, _bad string"
-    parsed = with_once(df, "_m", F.from_json("value", schema, LENIENT_JSON))
-    checked = parsed.withColumn(
-        "problem",
-        F.when(F.col("_m").isNull() | F.col("_m._bad").isNotNull(), "malformed")
-        .when(F.col("_m.data").isNull(), "no_data"),
-    )
+    schema = f"dt string, countryCode string, data array<{item_type or 'variant'}>"
+    parsed = with_once(df, "_m", one_object(F.col("value"), schema))
+    problem = F.when(F.col("_m").isNull(), "malformed").when(F.col("_m.data").isNull(), "no_data")
+    if not item_type:
+        problem = problem.when(may_lose_digits(F.col("value"), F.col("_m.data")), "bad_number")
+    checked = parsed.withColumn("problem", problem)
     usable = F.col("problem").isNull()
     return checked.select(
         *keep, "_m.dt", "_m.countryCode", F.when(usable, F.col("_m.data")).alias("items"),
@@ -69,8 +75,8 @@ def cleaned_records(
 ) -> DataFrame:
     """The whole cleaning step: ``(kind, value)``.
 
-    Kind ``clean`` holds items as JSON text with ``area`` and ``dt`` put in and nulls left out.
-    Messages with a problem come out whole under its name, elements that are no objects under
+    Kind ``clean`` holds items as JSON text with ``area`` and ``dt`` put in and null members left out
+    at every depth. Messages with a problem come out whole under its name, elements that are no objects under
     ``bad_item``.
     """
     rows = explode_items(enrich(parse_messages(df, item_type), codes, on_missing))
@@ -81,9 +87,21 @@ def cleaned_records(
     else:
         rows = with_once(rows, "_own", F.to_json(without_keys(item, "area", "dt")))
         no_object = F.col("_own").isNull()
-        text = merge_objects(F.to_json(F.struct(area, dt)), F.col("_own"))
+        text = merge_objects(F.to_json(F.struct(area, dt)), without_null_members(F.col("_own")))
     read = F.when(no_object, "bad_item").otherwise("clean")
     return rows.select(
         F.coalesce("problem", read).alias("kind"),
         F.coalesce(text, "raw", F.to_json(item), F.lit("null")).alias("value"),
     )
+
+
+def rejected_records(df: DataFrame, item_type: str | None = None) -> DataFrame:
+    """The rows of ``cleaned_records`` that are not clean, without writing those that are."""
+    rows = explode_items(parse_messages(df, item_type))
+    item = F.col("item")
+    is_object = item.isNotNull() if item_type else item.try_cast("map<string,variant>").isNotNull()
+    bad = rows.where(F.col("problem").isNotNull() | ~is_object)
+    return bad.select(
+        F.coalesce("problem", F.lit("bad_item")).alias("kind"),
+        F.coalesce("raw", F.to_json(item) if not item_type else F.lit(None), F.lit("null")).alias("value"),
+    )

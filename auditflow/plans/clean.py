@@ -10,6 +10,7 @@ from auditflow.operators.cleaning import (
     enrich,
     explode_items,
     parse_messages,
+    rejected_records,
 )
 from auditflow.operators.dimension import invert_areas, lookup_asof
 from auditflow.sources import tables
@@ -52,9 +53,8 @@ def clean_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = invert_areas(tables.areas(spark, sf_dir))
-    records = cleaned_records(tables.messages(spark, sf_dir), codes)
-    return records.where("kind <> 'clean'").select(F.col("kind").alias("reason"), "value")
+    records = rejected_records(tables.messages(spark, sf_dir))
+    return records.select(F.col("kind").alias("reason"), "value")
 
 
 def clean_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +112,7 @@ code_area AS (
   SELECT 'C' || n_nationkey, r_name FROM {_NATION}
 )"""
 
-_MESSAGES = f"""
+MESSAGES_SQL = f"""
 msg AS (
   SELECT l.*, r_name,
          year(l_shipdate) * 12 + month(l_shipdate) AS batch_id,
@@ -133,7 +133,7 @@ item AS (
 
 _LISTED_AREA = f"CASE WHEN r_name <> '{tables.UNLISTED_REGION}' THEN r_name END AS area"
 
-_RECORDS = f"WITH {_MESSAGES} SELECT type, score, level, {_LISTED_AREA}, dt FROM item"
+_RECORDS = f"WITH {MESSAGES_SQL} SELECT type, score, level, {_LISTED_AREA}, dt FROM item"
 
 ORACLE = {
     "dim_invert": f"""
@@ -152,7 +152,7 @@ WITH listed AS (
 )
 SELECT code AS "countryCode", min(r_name) AS area FROM code_area GROUP BY code""",
     "dim_snapshot_asof": f"""
-WITH {_CODES}, {_MESSAGES},
+WITH {_CODES}, {MESSAGES_SQL},
 snapshot AS (
   SELECT {tables.FIRST_SNAPSHOT} AS version, code, r_name FROM code_area
   WHERE r_name <> '{tables.UNLISTED_REGION}'
@@ -172,25 +172,25 @@ FROM msg JOIN in_force f ON msg.batch_id = f.batch_id
 LEFT JOIN snapshot s ON s.version = f.version AND s.code = msg.code
 WHERE problem IS NULL""",
     "clean_parse": f"""
-WITH {_MESSAGES}
+WITH {MESSAGES_SQL}
 SELECT dt, code AS "countryCode",
        CASE WHEN l_quantity >= 50 THEN 0 WHEN l_tax > 0 THEN 2 ELSE 1 END AS n_items
 FROM msg WHERE problem IS NULL""",
     "clean_quarantine": f"""
-WITH {_MESSAGES}
+WITH {MESSAGES_SQL}
 SELECT problem AS reason,
        CASE problem WHEN 'malformed' THEN '{{"dt":"' || dt || '","countryCode'
                     WHEN 'no_data' THEN '{{"dt":"' || dt || '","countryCode":"' || code || '"}}'
                     ELSE '1' END AS value
 FROM msg WHERE problem IS NOT NULL""",
     "clean_explode": f"""
-WITH {_MESSAGES} SELECT dt, code AS "countryCode", type, score, level FROM item""",
+WITH {MESSAGES_SQL} SELECT dt, code AS "countryCode", type, score, level FROM item""",
     "clean_enrich_left": _RECORDS,
     "clean_enrich_strict": f"""
-WITH {_MESSAGES} SELECT type, score, level, r_name AS area, dt FROM item""",
+WITH {MESSAGES_SQL} SELECT type, score, level, r_name AS area, dt FROM item""",
     "clean_json_out": _RECORDS,
     "clean_passthrough": f"""
-WITH {_MESSAGES}
+WITH {MESSAGES_SQL}
 SELECT type, score, level, {_LISTED_AREA}, dt, l_orderkey AS line_order,
        CAST(CAST(l_extendedprice AS DECIMAL(20,4)) AS VARCHAR) AS line_price
 FROM item""",

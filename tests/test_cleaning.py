@@ -3,19 +3,25 @@ from decimal import Decimal
 
 import pytest
 
-from auditflow.operators.cleaning import cleaned_records, enrich, explode_items, parse_messages
+from auditflow.operators.cleaning import (
+    cleaned_records,
+    enrich,
+    explode_items,
+    parse_messages,
+    rejected_records,
+)
 
 SCORED = "struct<type string, score double, level string>"
 
 GOOD = (
-    '{"dt":"2018-01-01 10:11:11","countryCode":"US","data":'
-    '[{"type":"s1","score":0.3,"level":"A"},{"type":"s2","score":0.2,"level":"B"}]}'
+    '{"dt":"2031-05-06 07:08:09","countryCode":"ZQ","data":'
+    '[{"type":"pear","score":4.25,"level":"low"},{"type":"plum","score":9.5,"level":"top"}]}'
 )
 
 
 @pytest.fixture
 def codes(spark):
-    return spark.createDataFrame([("US", "AREA_US")], "countryCode string, area string")
+    return spark.createDataFrame([("ZQ", "NORTH")], "countryCode string, area string")
 
 
 def run(df, codes, **options):
@@ -32,22 +38,22 @@ def records(df, codes, **options):
 @pytest.mark.parametrize("item_type", [None, SCORED])
 def test_area_and_time_are_put_into_each_item(values, codes, item_type):
     got = records(values(GOOD), codes, item_type=item_type)
-    common = {"area": "AREA_US", "dt": "2018-01-01 10:11:11"}
+    common = {"area": "NORTH", "dt": "2031-05-06 07:08:09"}
     assert got == [
-        {"type": "s1", "score": Decimal("0.3"), "level": "A", **common},
-        {"type": "s2", "score": Decimal("0.2"), "level": "B", **common},
+        {"type": "pear", "score": Decimal("4.25"), "level": "low", **common},
+        {"type": "plum", "score": Decimal("9.5"), "level": "top", **common},
     ]
 
 
 @pytest.mark.parametrize("code", ['"XX"', "null", None])
 def test_unknown_country_has_no_area(values, codes, code):
     header = "" if code is None else f'"countryCode":{code},'
-    got = records(values(f'{{"dt":"t",{header}"data":[{{"type":"s1"}}]}}'), codes)
-    assert got == [{"type": "s1", "dt": "t"}]
+    got = records(values(f'{{"dt":"t",{header}"data":[{{"type":"pear"}}]}}'), codes)
+    assert got == [{"type": "pear", "dt": "t"}]
 
 
 def test_unknown_country_fails_when_strict(values, codes):
-    strict = cleaned_records(values(GOOD.replace("US", "XX")), codes, on_missing="fail")
+    strict = cleaned_records(values(GOOD.replace("ZQ", "XX")), codes, on_missing="fail")
     with pytest.raises(Exception, match="no area for country code XX"):
         strict.collect()
 
@@ -64,16 +70,16 @@ def test_unknown_option_is_refused(values, codes):
 
 def test_unknown_keys_and_exact_numbers_survive(values, codes):
     item = '{"n":12345678901234567890.123456789,"o":{"k":[1,"}{"]},"q":"say \\"hi\\"","e":{}}'
-    got = records(values(f'{{"dt":"t","countryCode":"US","data":[{item}]}}'), codes)
+    got = records(values(f'{{"dt":"t","countryCode":"ZQ","data":[{item}]}}'), codes)
     expected = json.loads(item, parse_float=Decimal)
-    assert got == [{**expected, "area": "AREA_US", "dt": "t"}]
+    assert got == [{**expected, "area": "NORTH", "dt": "t"}]
 
 
 def test_old_keys_are_replaced_and_nulls_left_out(values, codes):
     item = '{"area":"old","dt":"old","x":null,"y":1}'
     text = '{{"dt":"t","countryCode":"{}","data":[{}]}}'
-    assert records(values(text.format("US", item)), codes) == [
-        {"y": 1, "area": "AREA_US", "dt": "t"}
+    assert records(values(text.format("ZQ", item)), codes) == [
+        {"y": 1, "area": "NORTH", "dt": "t"}
     ]
     # An unknown area replaces the old one with nothing.
     assert records(values(text.format("XX", item)), codes) == [{"y": 1, "dt": "t"}]
@@ -93,7 +99,7 @@ def test_loose_json_is_read(values, codes):
 
 @pytest.mark.parametrize("item_type", [None, SCORED])
 def test_empty_data_gives_nothing(values, codes, item_type):
-    assert run(values('{"dt":"t","countryCode":"US","data":[]}'), codes, item_type=item_type) == []
+    assert run(values('{"dt":"t","countryCode":"ZQ","data":[]}'), codes, item_type=item_type) == []
 
 
 @pytest.mark.parametrize("item_type", [None, SCORED])
@@ -103,8 +109,11 @@ def test_empty_data_gives_nothing(values, codes, item_type):
         ("malformed", "{bad"),
         ("malformed", "[1]"),
         ("malformed", '"text"'),
-        ("malformed", '{"dt":"t","data":"none"}'),
-        ("malformed", '{"dt":"t","data":[{"type":"s1"}]'),
+        ("malformed", '{"dt":"t","data":[]}{"dt":"u","data":[]}'),
+        ("malformed", '{"dt":"t","data":[]},{"dt":"u","data":[]}'),
+        ("malformed", '{"dt":"t","data":[]} garbage'),
+        ("no_data", '{"dt":"t","data":"none"}'),
+        ("malformed", '{"dt":"t","data":[{"type":"pear"}]'),
         ("no_data", '{"dt":"t"}'),
         ("no_data", '{"dt":"t","data":null}'),
     ],
@@ -121,7 +130,7 @@ def test_elements_that_are_no_objects_are_set_aside(values, codes):
 
 
 def test_a_null_element_of_a_declared_type_is_set_aside(values, codes):
-    text = '{"dt":"t","data":[null,{"type":"s1"}]}'
+    text = '{"dt":"t","data":[null,{"type":"pear"}]}'
     assert [k for k, _ in run(values(text), codes, item_type=SCORED)] == ["bad_item", "clean"]
 
 
@@ -133,5 +142,43 @@ def test_other_columns_are_kept(spark, codes):
     df = spark.createDataFrame([(7, GOOD)], "batch_id bigint, value string")
     rows = explode_items(enrich(parse_messages(df, SCORED), codes)).collect()
     assert [(r.batch_id, r.item.type, r.area) for r in rows] == [
-        (7, "s1", "AREA_US"), (7, "s2", "AREA_US")
+        (7, "pear", "NORTH"), (7, "plum", "NORTH")
     ]
+
+
+@pytest.mark.parametrize(
+    "number", ["1234567890123456789012345678901234567890.5", "9" * 42, "1e400", "1.23456789012345678901e2"]
+)
+def test_numbers_that_would_change_are_set_aside(values, codes, number):
+    text = f'{{"dt":"t","data":[{{"n":{number}}}]}}'
+    assert run(values(text), codes) == [("bad_number", text)]
+    quoted = f'{{"dt":"t","data":[{{"n":"{number}"}}]}}'
+    assert records(values(quoted), codes) == [{"n": number, "dt": "t"}]
+
+
+def test_numbers_of_38_digits_are_kept(values, codes):
+    number = "12345678901234567890.123456789012345678"
+    assert records(values(f'{{"dt":"t","data":[{{"n":{number}}}]}}'), codes)[0]["n"] == Decimal(number)
+
+
+@pytest.mark.parametrize("item_type", [None, "struct<o struct<x int, y int, z struct<k int>>, l array<int>>"])
+def test_null_members_are_left_out_at_every_depth(values, codes, item_type):
+    item = '{"l":[null,1],"o":{"x":null,"y":1,"z":{"k":null}}}'
+    got = records(values(f'{{"dt":"t","data":[{item}]}}'), codes, item_type=item_type)
+    assert got == [{"l": [None, 1], "o": {"y": 1, "z": {}}, "dt": "t"}]
+
+
+@pytest.mark.parametrize(
+    "item",
+    ['{"a":"x,\\"k\\":null}"}', '{"a":"b,","c":":null,"}', '{"a":{"b":"{","c":{"d":2}}}', '{"a":[",",":null,"],"b":"n"}'],
+)
+def test_text_that_looks_like_a_null_member_stays(values, codes, item):
+    assert records(values(f'{{"dt":"t","data":[{item}]}}'), codes) == [{**json.loads(item), "dt": "t"}]
+
+
+def test_rejected_records_are_those_that_are_not_clean(values, codes):
+    texts = [GOOD, "{bad", '{"dt":"t"}', '{"dt":"t","data":[1,null,{"a":1}]}', '{"dt":"t","data":[{"a":1e400}]}', None]
+    for item_type in (None, SCORED):
+        every = cleaned_records(values(*texts), codes, item_type=item_type).where("kind <> 'clean'")
+        found = rejected_records(values(*texts), item_type)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.collect()))
