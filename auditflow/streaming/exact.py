@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.operators.lateness import is_too_late
@@ -17,11 +17,9 @@ from auditflow.operators.reporting import (
 )
 from auditflow.operators.rules import ReportRules
 from auditflow.session import no_rows, one_row
+from auditflow.streaming.runs import claim
 from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
 
-# At most 2 ** COPY_BITS copies of a set-aside text are counted as one.
-COPY_BITS = 20
-
 _STATE_SCHEMA = (
     "kind string, window_start_ms bigint, type string, area string, "
     "count bigint, max_ms bigint, touched boolean, batch_id bigint"
@@ -36,7 +34,8 @@ class ExactReport:
     watermark of one batch earlier; so open panes are kept here as a small table instead. A batch
     reads only the state its predecessor left and writes its own outputs by overwriting, state
     last, so a batch that is replayed after a failure leaves the same result. State lives in two
-    places in turn and holds open panes, not events. One number reaches the driver.
+    places in turn and holds open panes, not events; every micro-batch writes all open panes anew.
+    Two numbers reach the driver. State that another run left in the same place is refused.
 
     ``emissions`` receives ``window_start_ms, type, area, count, max_ms`` for every firing and
     refiring; ``side`` receives ``kind, value``: too-late rows as tab-joined lines under ``late``,
@@ -54,16 +53,15 @@ class ExactReport:
         rows = self._classified(batch, seen_before)
 
         # One pass over the rows, counted before the shuffle; all later steps work on its result.
-        # Rows to set aside go along by their text, in pieces of bounded size.
-        piece = F.shiftright(F.monotonically_increasing_id(), COPY_BITS)
+        # Rows to set aside are only counted, a row per kind, to know whether there are any.
         ones = rows.select(
-            "kind", *PANE_KEY, "value", F.when(F.col("kind") != "pane", piece).alias("piece"),
+            "kind", *(F.when(F.col("kind") == "pane", F.col(c)).alias(c) for c in PANE_KEY),
             F.lit(1).cast("bigint").alias("count"), F.col("event_ms").alias("max_ms"),
             F.lit(True).alias("touched"),
         )
         merged = (
-            ones.unionByName(held, allowMissingColumns=True)
-            .groupBy("kind", *PANE_KEY, "value", "piece")
+            ones.unionByName(held)
+            .groupBy("kind", *PANE_KEY)
             .agg(
                 F.sum("count").alias("count"),
                 F.max("max_ms").alias("max_ms"),
@@ -72,21 +70,25 @@ class ExactReport:
         )
         merged = self._stored(spark, merged, f"{self.state_path}/merged")
 
-        seen_now = merged.where("kind in ('pane', 'late')").agg(F.max("max_ms")).first()[0]
+        seen_now, aside = merged.agg(
+            F.max(F.when(F.col("kind").isin("pane", "late"), F.col("max_ms"))),
+            F.coalesce(F.sum(F.when(F.col("kind") != "pane", F.col("count"))), F.lit(0)),
+        ).first()
         # Held panes are no newer than what was seen before, so they do not move the maximum.
         seen = max((m for m in (seen_before, seen_now) if m is not None), default=None)
 
         panes = merged.where("kind = 'pane'").select(*PANE_KEY, "count", "max_ms", "touched")
         self._emit(panes, seen_before, seen, batch_id)
-        self._set_aside(merged.where("kind <> 'pane'"), batch_id)
+        # A second reading of the batch, without a shuffle, and only where there is something to write.
+        away = rows.where("kind <> 'pane'") if aside else rows.where("false")
+        self._set_aside(away.select("kind", "value"), batch_id)
         self._hold(spark, panes, seen, batch_id)
 
     def _watermark(self, seen: int | None) -> int | None:
         return None if seen is None else max(seen, 0) - self.rules.delay_ms
 
     def _classified(self, batch: DataFrame, seen_before: int | None) -> DataFrame:
-        """``kind`` and ``event_ms`` of each row; window, type and area of those that count, and the
-        text of those to set aside."""
+        """``kind``, ``event_ms``, window, type and area of each row, and the text to set aside."""
         audit = parse_audit(batch, self.rules)
         start = window_start(F.col("event_ms"), self.rules)
         wm_before = F.lit(self._watermark(seen_before)).cast("bigint")
@@ -95,19 +97,9 @@ class ExactReport:
         kind = F.when(~ok, F.col("status")).when(late, "late").otherwise("pane")
         text = F.when(ok, late_line()).otherwise(F.col("value"))
 
-        def of_pane(col: Column) -> Column:
-            return F.when(F.col("kind") == "pane", col)
-
         return audit.select(
-            kind.alias("kind"), start.alias("_start"), "type", "area", "event_ms",
+            kind.alias("kind"), start.alias("window_start_ms"), "type", "area", "event_ms",
             text.alias("value"),
-        ).select(
-            "kind",
-            of_pane(F.col("_start")).alias("window_start_ms"),
-            of_pane(F.col("type")).alias("type"),
-            of_pane(F.col("area")).alias("area"),
-            "event_ms",
-            F.when(F.col("kind") != "pane", F.col("value")).alias("value"),
         )
 
     def _emit(
@@ -121,10 +113,9 @@ class ExactReport:
         fired = panes.where(passed & (F.col("touched") | first_time))
         self.emissions.write(fired.select(*PANE_KEY, "count", "max_ms"), batch_id)
 
-    def _set_aside(self, counted: DataFrame, batch_id: int) -> None:
+    def _set_aside(self, away: DataFrame, batch_id: int) -> None:
         """Late and unusable rows, each as often as it came."""
-        copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count")))
-        self.side.write(counted.select("kind", "value", copies).drop("col"), batch_id)
+        self.side.write(away, batch_id)
 
     def _hold(self, spark, panes: DataFrame, seen: int | None, batch_id: int) -> None:
         """Keep panes that may still change, and last of all mark the batch as done."""
@@ -142,6 +133,7 @@ class ExactReport:
         """The predecessor's open panes and the latest event time seen by then."""
         columns = ["kind", *PANE_KEY, "count", "max_ms", "touched"]
         if batch_id == 0:
+            claim(spark, self.state_path)
             return no_rows(spark, _STATE_SCHEMA).select(*columns), None
         state = spark.read.schema(_STATE_SCHEMA).parquet(self._slot(batch_id - 1))
         marks = state.where("kind = 'mark'").take(2)

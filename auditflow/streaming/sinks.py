@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.operators.reporting import as_documents
+from auditflow.streaming.runs import claim
 
 
 @dataclass(frozen=True)
 class FolderSink:
     """A folder per micro-batch, overwritten on replay: each record counts exactly once.
 
+    A folder holds the output of one run; another run's first micro-batch is refused (``claim``).
+
     ``split_by`` puts rows of different kinds in sub-folders within the same pass.
     """
 
@@ -22,6 +25,8 @@ class FolderSink:
     split_by: str | None = None
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:
+            claim(rows.sparkSession, self.path)
         # The whole folder is replaced, whatever the session says about partitions.
         writer = rows.write.mode("overwrite").format(self.format)
         writer = writer.option("partitionOverwriteMode", "static")
