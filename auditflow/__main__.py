@@ -43,10 +43,13 @@ def _parser() -> argparse.ArgumentParser:
     shared.add_argument("--source", nargs="+", required=True, help="format and options")
     shared.add_argument("--checkpoint", required=True, help="folder of the streaming checkpoint")
     shared.add_argument("--drain", action="store_true", help="stop when the input is used up")
+    shared.add_argument("--time-zone", help="zone of the times that are read and written")
 
     clean = jobs.add_parser("clean", parents=[shared])
     clean.add_argument("--areas", nargs="+", required=True, help="format and options of the table")
-    clean.add_argument("--refresh-seconds", type=float, default=60.0)
+    clean.add_argument("--refresh-seconds", type=float, default=30.0)
+    clean.add_argument("--areas-optional", action="store_true", help="start without a readable table")
+    clean.add_argument("--pieces", type=int, help="deal each micro-batch out over so many tasks")
     clean.add_argument("--sink", nargs="+", required=True, help="cleaned and unusable records")
     clean.add_argument("--on-missing", choices=["null", "fail"], default="null")
     clean.add_argument("--item-type", help="declared struct type of the items")
@@ -71,6 +74,8 @@ def _parser() -> argparse.ArgumentParser:
 def start(spark: SparkSession, argv: list[str] | None = None) -> StreamingQuery:
     """Start the job the arguments describe."""
     args = _parser().parse_args(argv)
+    if args.time_zone:
+        spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     format, options = _format_and_options(args.source)
     raw = raw_stream(spark, format, **options)
     trigger = {"availableNow": True} if args.drain else EVERY_MINUTE
@@ -79,10 +84,12 @@ def start(spark: SparkSession, argv: list[str] | None = None) -> StreamingQuery:
         dimension = AreaDimension(
             lambda session: session.read.format(areas_format).options(**areas_options).load(),
             args.refresh_seconds,
+            path=f"{args.checkpoint.rstrip('/')}-areas",
+            optional=args.areas_optional,
         )
         return clean_job(
             raw, dimension, _sink(args.sink, split_by="kind"), args.checkpoint,
-            args.on_missing, args.item_type, trigger,
+            args.on_missing, args.item_type, trigger, args.pieces,
         )
     rules = ReportRules(
         args.window_seconds * 1000, args.delay_seconds * 1000, args.lateness_seconds * 1000,

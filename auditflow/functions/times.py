@@ -1,4 +1,4 @@
-"""Date-time text to epoch milliseconds and back, in the session time zone."""
+"""Date-time text to epoch milliseconds and back, in the session time zone or a named one."""
 
 from __future__ import annotations
 
@@ -24,14 +24,25 @@ def _rolled_time(text: Column) -> Column:
     return (date.cast("timestamp_ntz") + clock).cast("timestamp")
 
 
-def parse_time_ms(text: Column, lenient: bool = True) -> Column:
+def parse_time_ms(text: Column, lenient: bool = True, zone: str | None = None) -> Column:
     """Epoch milliseconds of ``yyyy-MM-dd HH:mm:ss`` text, null where it cannot be read.
 
-    Well-formed text takes the first branch; only other text pays for the lenient reading.
+    Well-formed text takes the first branch; only other text pays for the lenient reading. With a
+    ``zone`` the text is a time there, whatever zone the session has, as long as the session's own
+    clock does not skip that time. A time that the zone's clock skips is moved on by the gap.
     """
     strict = F.try_to_timestamp(text, F.lit(TIME_FORMAT))
-    return F.unix_millis(F.coalesce(strict, _rolled_time(text)) if lenient else strict)
-
-
-def format_time(ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ms), TIME_FORMAT)
+    found = F.coalesce(strict, _rolled_time(text)) if lenient else strict
+    if not zone:
+        return F.unix_millis(found)
+    there = F.convert_timezone(F.lit(zone), F.lit("UTC"), found.cast("timestamp_ntz"))
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), there)
+
+
+def format_time(ms: Column, zone: str | None = None) -> Column:
+    moment = F.timestamp_millis(ms)
+    if not zone:
+        return F.date_format(moment, TIME_FORMAT)
+    return F.date_format(
+        F.convert_timezone(F.current_timezone(), F.lit(zone), moment.cast("timestamp_ntz")), TIME_FORMAT
+    )

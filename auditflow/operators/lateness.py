@@ -19,9 +19,12 @@ BATCHES_PER_BUCKET = 65_536
 WINDOWS_PER_BUCKET = 4_096
 
 
-def batch_watermark(panes: DataFrame, rules: ReportRules) -> DataFrame:
-    """``(batch_id, wm_before, wm_after)`` in milliseconds; ``wm_before`` is null at first."""
-    per_batch = panes.groupBy("batch_id").agg(F.max("max_ms").alias("_max"))
+def batch_watermark(latest: DataFrame, rules: ReportRules) -> DataFrame:
+    """``(batch_id, wm_before, wm_after)`` in milliseconds; ``wm_before`` is null at first.
+
+    ``latest(batch_id, max_ms)`` may have any number of rows per batch: counted panes, or one row.
+    """
+    per_batch = latest.groupBy("batch_id").agg(F.max("max_ms").alias("_max"))
     seen = running_max(per_batch, "batch_id", "_max", BATCHES_PER_BUCKET)
 
     def mark(col: str) -> Column:

@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# An input of more partitions than this is never moved, and at most this many are made of each one.
-FEW = 16
 
+def spread(df: DataFrame, pieces: int | None) -> DataFrame:
+    """Deal the rows out over so many partitions; as they are without a number.
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of an input of few partitions out over the cores.
-
-    One unsplittable file, or a topic of a handful of partitions, keeps most cores idle, and
-    parsing JSON costs far more than moving it. Any large table has many partitions and is
-    returned as it is, without a shuffle.
+    For an input that comes in fewer pieces than there are cores, such as one unsplittable file or a
+    topic of a handful of partitions: parsing JSON costs far more than moving it. It is a shuffle of
+    the whole input, so it is only done on request.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    partitions = df.rdd.getNumPartitions()
-    if not 0 < partitions < cores or partitions > FEW:
-        return df
-    return df.repartition(min(cores, partitions * FEW))
+    return df.repartition(pieces) if pieces else df

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
-from auditflow.functions.json import LENIENT_JSON
+from auditflow.functions.json import one_object
 from auditflow.functions.text import tab_line
 from auditflow.functions.times import format_time, parse_time_ms
 from auditflow.operators.rules import ReportRules
 
 PANE_KEY = ["window_start_ms", "type", "area"]
 
-_AUDIT_SCHEMA = "dt string, type string, area string, _bad string"
+_AUDIT_SCHEMA = "dt string, type string, area string"
 
 
 def window_start(ms: Column, rules: ReportRules) -> Column:
@@ -29,14 +29,14 @@ def window_last(start: Column, rules: ReportRules) -> Column:
 def parse_audit(df: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """Parse ``value`` into ``event_ms``, ``type``, ``area`` and ``status``.
 
-    Status is ``ok``, ``malformed`` (not one JSON object), ``bad_time`` (missing or unreadable time,
+    Status is ``ok``, ``malformed`` (not exactly one JSON object), ``bad_time`` (missing or unreadable time,
     or exactly the epoch) or ``no_key`` (type or area missing). Other columns are kept.
     """
     keep = [c for c in df.columns if c != "value"]
-    parsed = with_once(df, "_m", F.from_json("value", _AUDIT_SCHEMA, LENIENT_JSON))
-    timed = with_once(parsed, "event_ms", parse_time_ms(F.col("_m.dt"), rules.lenient_time))
+    parsed = with_once(df, "_m", one_object(F.col("value"), _AUDIT_SCHEMA))
+    timed = with_once(parsed, "event_ms", parse_time_ms(F.col("_m.dt"), rules.lenient_time, rules.zone))
     status = (
-        F.when(F.col("_m").isNull() | F.col("_m._bad").isNotNull(), "malformed")
+        F.when(F.col("_m").isNull(), "malformed")
         .when(F.col("event_ms").isNull() | (F.col("event_ms") == 0), "bad_time")
         .when(F.col("_m.type").isNull() | F.col("_m.area").isNull(), "no_key")
         .otherwise("ok")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,9 @@ from auditflow.sources import tables
 MINUTE = 60_000
 
 # The given events are minutes apart, so window, delay and lateness are scaled up accordingly.
-RULES = ReportRules(window_ms=60 * MINUTE, delay_ms=10 * MINUTE, lateness_ms=30 * MINUTE)
+RULES = ReportRules(window_ms=60 * MINUTE, delay_ms=10 * MINUTE, lateness_ms=90 * MINUTE)
+
+ZONE = "America/New_York"
 
 # Arrival time covered by one batch.
 BATCH_MS = 60 * MINUTE
@@ -51,14 +53,12 @@ class _Replay:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> _Replay:
         panes = stage(count_panes(_rows(spark, sf_dir), RULES, "batch_id"), "panes")
-        marks = lateness.batch_watermark(panes, RULES)
+        marks = stage(lateness.batch_watermark(panes, RULES), "marks")
         return cls(panes, marks, *lateness.split_late(panes, marks, RULES))
 
     def log(self) -> DataFrame:
-        marks = stage(self.marks, "marks")
-        on_time, _ = lateness.split_late(self.panes, marks, RULES)
-        fires = lateness.fire_batches(self.panes, marks, RULES)
-        return lateness.changelog(on_time, fires)
+        fires = stage(lateness.fire_batches(self.panes, self.marks, RULES), "fires")
+        return lateness.changelog(self.on_time, fires)
 
 
 def _shown(panes: DataFrame) -> DataFrame:
@@ -75,6 +75,12 @@ def report_parse_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_ms", "type", "area")
 
 
+def report_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of a zone that changes its clocks meanwhile, read and shown there."""
+    rows = usable(parse_audit(tables.spring_audit_events(spark, sf_dir), replace(RULES, zone=ZONE)))
+    return rows.select("event_ms", "type", "area", format_time(F.col("event_ms"), ZONE).alias("data"))
+
+
 def report_bad_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = rejected(_audit(spark, sf_dir)).where("reason = 'bad_time'")
     parts = F.from_json("value", "dt string, type string, username string, area string")
@@ -100,7 +106,8 @@ def report_window_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Replay.of(spark, sf_dir).marks
+    latest = _rows(spark, sf_dir).groupBy("batch_id").agg(F.max("event_ms").alias("max_ms"))
+    return lateness.batch_watermark(stage(latest, "latest"), RULES)
 
 
 def report_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +141,7 @@ def report_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        report_parse, report_parse_lenient, report_bad_time, report_quarantine,
+        report_parse, report_parse_lenient, report_zone, report_bad_time, report_quarantine,
         report_window_count, report_window_max, batch_watermark, report_late_rows,
         report_window_final, report_changelog, report_first_fire, report_upsert, report_doc,
     )
@@ -146,41 +153,41 @@ _LOCATED = """events LEFT JOIN nation ON user_id % 25 = n_nationkey
 _TIME = "strftime(make_timestamp(mx * 1000), '%Y-%m-%d %H:%M:%S') AS data"
 
 
-def audit_sql(batch_ms: int, in_order: bool = False) -> str:
-    """Events with status, batch, batch number and window."""
-    delay = (
-        "0" if in_order
-        else "CASE WHEN event_id % 5 = 0 THEN event_id // 5 * 37 % 40 * 300000 "
-             "ELSE event_id % 60 * 1000 END"
+def arrival_sql(step_ms: int = tables.STEP_MS) -> str:
+    return (
+        f"epoch_ms(ts) + CASE WHEN event_id % 5 = 0 THEN event_id // 5 * 37 % {tables.DELAY_STEPS} * {step_ms} "
+        "ELSE event_id % 60 * 1000 END"
     )
+
+
+def audit_sql(batch: str = f"({arrival_sql()}) // {BATCH_MS}", rules: ReportRules = RULES) -> str:
+    """Events with status, batch and window."""
     return f"""
 audit AS (
-  SELECT *, ms - ms % {RULES.window_ms} AS ws,
-         dense_rank() OVER (ORDER BY batch_id) - 1 AS batch_no
+  SELECT *, ms - ms % {rules.window_ms} AS ws
   FROM (
     SELECT event_id, user_id, event_type AS type, r_name AS area,
            epoch_ms(date_trunc('second', ts)) AS ms,
-           (epoch_ms(ts) + {delay}) // {batch_ms} AS batch_id,
+           {batch} AS batch_id,
            CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 97 = 0 THEN 'bad_time'
                 WHEN event_id % 103 = 0 THEN 'no_key' ELSE 'ok' END AS status
     FROM {_LOCATED})
 )"""
 
 
-def lateness_sql(batch_ms: int) -> str:
+def lateness_sql(batch: str = f"({arrival_sql()}) // {BATCH_MS}", rules: ReportRules = RULES) -> str:
     """Rows marked late or not, and every emission, straight from the single events."""
-    last = f"ws + {RULES.window_ms} - 1"
-    return audit_sql(batch_ms) + f""",
+    last = f"ws + {rules.window_ms} - 1"
+    return audit_sql(batch, rules) + f""",
 mark AS (
-  SELECT batch_id, batch_no,
+  SELECT batch_id,
          max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-           - {RULES.delay_ms} AS wm_before,
-         max(mx) OVER (ORDER BY batch_id) - {RULES.delay_ms} AS wm_after
-  FROM (SELECT batch_id, batch_no, max(ms) AS mx FROM audit WHERE status = 'ok'
-        GROUP BY batch_id, batch_no)
+           - {rules.delay_ms} AS wm_before,
+         max(mx) OVER (ORDER BY batch_id) - {rules.delay_ms} AS wm_after
+  FROM (SELECT batch_id, max(ms) AS mx FROM audit WHERE status = 'ok' GROUP BY batch_id)
 ),
 judged AS (
-  SELECT audit.*, coalesce({last} + {RULES.lateness_ms} <= wm_before, false) AS late
+  SELECT audit.*, coalesce({last} + {rules.lateness_ms} <= wm_before, false) AS late
   FROM audit JOIN mark USING (batch_id) WHERE status = 'ok'
 ),
 fire AS (
@@ -202,7 +209,7 @@ emission AS (
 
 def _emission_sql(pick: str) -> str:
     return f"""
-WITH {lateness_sql(BATCH_MS)}
+WITH {lateness_sql()}
 SELECT batch_id, ws AS window_start_ms, type, area, n AS count, {_TIME}
 FROM emission
 QUALIFY batch_id = {pick}(batch_id) OVER (PARTITION BY ws, type, area)"""
@@ -212,42 +219,47 @@ LATE_LINE_SQL = "ms || chr(9) || type || chr(9) || area AS value"
 
 ORACLE = {
     "report_parse": f"""
-WITH {audit_sql(BATCH_MS)} SELECT ms AS event_ms, type, area FROM audit WHERE status = 'ok'""",
+WITH {audit_sql()} SELECT ms AS event_ms, type, area FROM audit WHERE status = 'ok'""",
     "report_parse_lenient": f"""
-WITH {audit_sql(BATCH_MS)} SELECT ms AS event_ms, type, area FROM audit""",
+WITH {audit_sql()} SELECT ms AS event_ms, type, area FROM audit""",
+    "report_zone": f"""
+SELECT epoch_ms(there) AS event_ms, type, area,
+       strftime(timezone('{ZONE}', there), '%Y-%m-%d %H:%M:%S') AS data
+FROM (SELECT timezone('{ZONE}', date_trunc('second', ts) + INTERVAL {tables.SPRING_DAYS} DAY) AS there,
+             event_type AS type, r_name AS area FROM {_LOCATED})""",
     "report_bad_time": f"""
-WITH {audit_sql(BATCH_MS)}
+WITH {audit_sql()}
 SELECT CASE event_id % 4 WHEN 0 THEN 'bad' WHEN 1 THEN '' WHEN 2 THEN '1970-01-01 00:00:00' END
          AS dt,
        CASE WHEN event_id % 103 <> 0 THEN type END AS type, 'user' || user_id AS username, area
 FROM audit WHERE status = 'bad_time'""",
     "report_quarantine": f"""
-WITH {audit_sql(BATCH_MS)}
+WITH {audit_sql()}
 SELECT batch_id, status AS reason, count(*) AS count FROM audit WHERE status <> 'ok'
 GROUP BY batch_id, status""",
     "report_window_count": f"""
-WITH {audit_sql(BATCH_MS)}
+WITH {audit_sql()}
 SELECT ws AS window_start_ms, type, area, count(*) AS count FROM audit WHERE status = 'ok'
 GROUP BY ws, type, area""",
     "report_window_max": f"""
-WITH {audit_sql(BATCH_MS)}
+WITH {audit_sql()}
 SELECT window_start_ms, type, area, {_TIME} FROM (
   SELECT ws AS window_start_ms, type, area, max(ms) AS mx FROM audit WHERE status = 'ok'
   GROUP BY ws, type, area)""",
     "batch_watermark": f"""
-WITH {lateness_sql(BATCH_MS)} SELECT batch_id, wm_before, wm_after FROM mark""",
+WITH {lateness_sql()} SELECT batch_id, wm_before, wm_after FROM mark""",
     "report_late_rows": f"""
-WITH {lateness_sql(BATCH_MS)} SELECT batch_id, {LATE_LINE_SQL} FROM judged WHERE late""",
+WITH {lateness_sql()} SELECT batch_id, {LATE_LINE_SQL} FROM judged WHERE late""",
     "report_window_final": f"""
-WITH {lateness_sql(BATCH_MS)}
+WITH {lateness_sql()}
 SELECT window_start_ms, type, area, count, {_TIME} FROM (
   SELECT ws AS window_start_ms, type, area, count(*) AS count, max(ms) AS mx
   FROM judged WHERE NOT late GROUP BY ws, type, area)""",
     "report_changelog": f"""
-WITH {lateness_sql(BATCH_MS)}
+WITH {lateness_sql()}
 SELECT batch_id, ws AS window_start_ms, type, area, n AS count, {_TIME} FROM emission""",
     "report_first_fire": _emission_sql("min"),
     "report_upsert": _emission_sql("max"),
     "report_doc": f"""
-WITH {lateness_sql(BATCH_MS)} SELECT {_TIME}, type, area, n AS count FROM emission""",
+WITH {lateness_sql()} SELECT {_TIME}, type, area, n AS count FROM emission""",
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import replace
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +22,13 @@ from auditflow.streaming.sinks import FolderSink
 
 DRAIN = {"availableNow": True}
 
-# Arrival time covered by one micro-batch of the replays.
-STREAM_BATCH_MS = 4 * 24 * 60 * report.MINUTE
+# Micro-batches of a replay. Events come up to 40 steps late, over several micro-batches, so panes
+# that have fired get more rows, and rows come after the lateness.
+STREAM_BATCHES = 9
+STREAM_STEP_MS = 3 * 60 * report.MINUTE
+STREAM_RULES = replace(report.RULES, lateness_ms=2 * 24 * 60 * report.MINUTE)
 
-# Bounds one micro-batch when a whole table is read as a stream.
+# Bounds one micro-batch of the cleaning job, which has no state; it has no bearing on the result.
 FILES_PER_BATCH = 1_000
 
 _EMITTED = (
@@ -39,6 +45,11 @@ def _as_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.*")
 
 
+def _cleaned(spark: SparkSession, out: str) -> DataFrame:
+    records = spark.read.schema(_SIDE).parquet(out).where("kind = 'clean'")
+    return clean.read_records(records, clean.RECORD)
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.messages_from(_as_stream(spark, sf_dir, "lineitem"), spark, sf_dir)
     dimension = AreaDimension(lambda session: tables.areas(session, sf_dir))
@@ -47,8 +58,31 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw.select("value"), dimension, FolderSink(out, split_by="kind"),
         workspace(spark, "checkpoint"), trigger=DRAIN,
     ).awaitTermination()
-    records = spark.read.schema(_SIDE).parquet(out).where("kind = 'clean'")
-    return clean.read_records(records, clean.RECORD)
+    return _cleaned(spark, out)
+
+
+def stream_clean_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area table changes between micro-batches: none, the first, an empty and a second one."""
+    months = [None, tables.FIRST_SNAPSHOT, tables.EMPTY_SNAPSHOT, tables.SECOND_SNAPSHOT, None]
+    messages = tables.messages_from(tables.table(spark, sf_dir, "lineitem"), spark, sf_dir)
+    in_force: list[int | None] = []
+
+    def batches() -> Iterator[DataFrame]:
+        for first, after in zip(months, months[1:]):
+            in_force[:] = [first]
+            since = F.lit(True) if first is None else F.col("batch_id") >= first
+            until = F.lit(True) if after is None else F.col("batch_id") < after
+            yield messages.where(since & until).select("value")
+
+    def load(session: SparkSession) -> DataFrame:
+        return tables.area_snapshots(session, sf_dir).where(F.col("version") == F.lit(in_force[0]))
+
+    dimension = AreaDimension(load, refresh_seconds=0, path=workspace(spark, "areas"))
+    out, checkpoint = workspace(spark, "clean"), workspace(spark, "checkpoint")
+    replay(spark, batches(), lambda raw: clean_job(
+        raw, dimension, FolderSink(out, split_by="kind"), checkpoint, trigger=DRAIN
+    ))
+    return _cleaned(spark, out)
 
 
 class _Replayed:
@@ -59,14 +93,13 @@ class _Replayed:
         self.checkpoint = workspace(spark, "checkpoint")
         self.report = report_class(
             workspace(spark, "state"), FolderSink(self.emitted),
-            FolderSink(self.side, split_by="kind"), report.RULES,
+            FolderSink(self.side, split_by="kind"), STREAM_RULES,
         )
         self.spark = spark
+        arrival = tables.arrival_ms(STREAM_STEP_MS)
+        longest = tables.DELAY_STEPS * STREAM_STEP_MS
         replay(
-            spark,
-            tables.arrival_batches(spark, sf_dir, STREAM_BATCH_MS),
-            tables.audit_batches(spark, sf_dir, STREAM_BATCH_MS),
-            self._start,
+            spark, tables.audit_batches(spark, sf_dir, arrival, STREAM_BATCHES, longest), self._start
         )
 
     def _start(self, raw: DataFrame) -> StreamingQuery:
@@ -92,6 +125,9 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aside.where("kind = 'late'").select("batch_id", "value")
 
 
+_PLANTED = "planted failure"
+
+
 class _FailsOnce(ExactReport):
     """Stops once in the third batch, after its outputs are written and before its state is."""
 
@@ -100,21 +136,25 @@ class _FailsOnce(ExactReport):
     def _hold(self, spark, panes, seen, batch_id):
         if batch_id == 2 and not self.failed:
             self.failed = True
-            raise RuntimeError("planted failure")
+            raise RuntimeError(_PLANTED)
         super()._hold(spark, panes, seen, batch_id)
 
 
 class _Restarted(_Replayed):
-    """Starts the job again from its checkpoint when it fails."""
+    """Starts the job again from its checkpoint after the planted failure, which must take place."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir, _FailsOnce)
+        if not self.report.failed:
+            raise RuntimeError("the planted failure did not take place")
 
     def _start(self, raw: DataFrame) -> StreamingQuery:
         query = super()._start(raw)
         try:
             query.awaitTermination()
-        except StreamingQueryException:
+        except StreamingQueryException as error:
+            if _PLANTED not in str(error):
+                raise
             query = super()._start(raw)
         return query
 
@@ -124,41 +164,54 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_native_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_order = F.unix_millis(F.col("ts").cast("timestamp"))
-    raw = tables.audit_events_from(
-        _as_stream(spark, sf_dir, "events"), spark, sf_dir, in_order, STREAM_BATCH_MS
+    """Events in the order of their time, over several micro-batches."""
+    out, checkpoint = workspace(spark, "native"), workspace(spark, "checkpoint")
+    replay(
+        spark,
+        tables.audit_batches(spark, sf_dir, tables.event_ms(), STREAM_BATCHES, 0),
+        lambda raw: native_job(raw, out, checkpoint, report.RULES, DRAIN),
     )
-    out = workspace(spark, "native")
-    native_job(
-        raw.select("value"), out, workspace(spark, "checkpoint"), report.RULES, DRAIN
-    ).awaitTermination()
     return spark.read.parquet(out)
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_clean, stream_report_changelog, stream_late, stream_restart, stream_native_final
+        stream_clean, stream_clean_refresh, stream_report_changelog, stream_late, stream_restart,
+        stream_native_final,
     )
 }
 
+_ARRIVAL = report.arrival_sql(STREAM_STEP_MS)
+_BATCH = f"""({_ARRIVAL} - (SELECT min({_ARRIVAL}) FROM events))
+             // ((SELECT max({_ARRIVAL}) - min({_ARRIVAL}) FROM events) // {STREAM_BATCHES} + 1)"""
+
 _CHANGELOG = f"""
-WITH {report.lateness_sql(STREAM_BATCH_MS)}
-SELECT batch_no AS batch_id, ws AS window_start_ms, type, area, n AS count,
-       strftime(make_timestamp(emission.mx * 1000), '%Y-%m-%d %H:%M:%S') AS data
-FROM emission JOIN mark USING (batch_id)"""
+WITH {report.lateness_sql(_BATCH, STREAM_RULES)}
+SELECT batch_id, ws AS window_start_ms, type, area, n AS count,
+       strftime(make_timestamp(mx * 1000), '%Y-%m-%d %H:%M:%S') AS data
+FROM emission"""
 
 _RULES = report.RULES
+_MONTH = "CAST(substr(dt, 1, 4) AS INTEGER) * 12 + CAST(substr(dt, 6, 2) AS INTEGER)"
 
 ORACLE = {
     "stream_clean": clean.ORACLE["clean_enrich_left"],
+    "stream_clean_refresh": f"""
+WITH {clean.MESSAGES_SQL}
+SELECT type, score, level, dt,
+       CASE WHEN {_MONTH} >= {tables.SECOND_SNAPSHOT}
+              THEN CASE WHEN r_name <> '{tables.DROPPED_REGION}' THEN r_name END
+            WHEN {_MONTH} >= {tables.FIRST_SNAPSHOT}
+              THEN CASE WHEN r_name <> '{tables.UNLISTED_REGION}' THEN r_name END END AS area
+FROM item""",
     "stream_report_changelog": _CHANGELOG,
     "stream_restart": _CHANGELOG,
     "stream_late": f"""
-WITH {report.lateness_sql(STREAM_BATCH_MS)}
-SELECT batch_no AS batch_id, {report.LATE_LINE_SQL} FROM judged WHERE late""",
+WITH {report.lateness_sql(_BATCH, STREAM_RULES)}
+SELECT batch_id, {report.LATE_LINE_SQL} FROM judged WHERE late""",
     "stream_native_final": f"""
-WITH {report.audit_sql(STREAM_BATCH_MS, in_order=True)}
+WITH {report.audit_sql()}
 SELECT window_start_ms, type, area, count,
        strftime(make_timestamp(mx * 1000), '%Y-%m-%d %H:%M:%S') AS data
 FROM (

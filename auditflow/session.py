@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Set on every session this package builds; all may be overridden by the cluster.
+# Set on every session this package works with, unless the session was built or submitted with its own.
 SETTINGS = {
     # Times are read and written in this zone.
     "spark.sql.session.timeZone": "UTC",
@@ -32,15 +32,17 @@ def build_session(app: str = "auditflow", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to a session that was built elsewhere."""
+    """Apply those of ``SETTINGS`` that the session was not built or submitted with."""
+    given = spark.sparkContext.getConf()
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if not given.contains(key):
+            spark.conf.set(key, value)
     return spark
 
 

@@ -6,7 +6,7 @@ to the query it feeds, and no key, however frequent, is gathered into one row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,8 +100,13 @@ def _items(extra_keys: bool) -> Column:
     return F.when(F.col("l_quantity") < 50, both).otherwise(F.slice(both, 1, 0))
 
 
+# Setting that deals the large tables out over so many tasks, for tables of one or a few files.
+PIECES = "spark.auditflow.pieces"
+
+
 def big_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name))
+    pieces = spark.conf.get(PIECES, None)
+    return spread(table(spark, sf_dir, name), int(pieces) if pieces else None)
 
 
 def messages(spark: SparkSession, sf_dir: str, extra_keys: bool = False) -> DataFrame:
@@ -145,16 +150,21 @@ def messages_from(
     return located.select(_month(), value.alias("value"))
 
 
-def arrival_ms() -> Column:
-    """Arrival time of an event: within a minute, but hours late for every fifth one."""
-    event_id = F.col("event_id")
-    late = whole_part(event_id, 5) * 37 % 40 * 300_000
-    delay = F.when(event_id % 5 == 0, late).otherwise(event_id % 60 * 1000)
-    return F.unix_millis(F.col("ts").cast("timestamp")) + delay
+# Late events are late by up to this many steps.
+DELAY_STEPS = 40
+STEP_MS = 300_000
 
 
-# No event arrives later than this after its time.
-MAX_DELAY_MS = 40 * 300_000
+def event_ms() -> Column:
+    return F.unix_millis(F.col("ts").cast("timestamp"))
+
+
+def arrival_ms(step_ms: int = STEP_MS) -> Column:
+    """Arrival time of an event: within a minute, but up to 40 steps late for every fifth one."""
+    event_id = F.col("event_id")
+    late = whole_part(event_id, 5) * 37 % DELAY_STEPS * step_ms
+    delay = F.when(event_id % 5 == 0, late).otherwise(event_id % 60 * 1000)
+    return event_ms() + delay
 
 
 def audit_events(spark: SparkSession, sf_dir: str, batch_ms: int) -> DataFrame:
@@ -163,33 +173,30 @@ def audit_events(spark: SparkSession, sf_dir: str, batch_ms: int) -> DataFrame:
     return audit_events_from(events, spark, sf_dir, arrival_ms(), batch_ms)
 
 
-def arrival_batches(spark: SparkSession, sf_dir: str, batch_ms: int) -> list[int]:
-    """The numbers of the arrival batches."""
-    batch = whole_part(arrival_ms(), batch_ms).alias("batch_id")
-    rows = table(spark, sf_dir, "events").select(batch).distinct().collect()
-    return [row.batch_id for row in rows]
-
-
 def audit_batches(
-    spark: SparkSession, sf_dir: str, batch_ms: int
-) -> Callable[[int], DataFrame]:
-    """A function from batch number to the messages of that arrival batch.
+    spark: SparkSession, sf_dir: str, arrival: Column, batches: int, most_delay_ms: int
+) -> Iterator[DataFrame]:
+    """The messages in their order of arrival, in so many batches that cover equal times.
 
-    The bounds on event time let the scan skip the rest of the table.
+    One row, the first and the last arrival, comes to the driver. The bounds on event time let the
+    scan of a batch skip the rest of the table, however its files are cut and ordered.
     """
     events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min(arrival), F.max(arrival)).first()
+    if first is None:
+        return
     kind = events.schema["ts"].dataType
-    messages = audit_events_from(events, spark, sf_dir, arrival_ms(), batch_ms, "ts")
+    width = (last - first) // batches + 1
+    number = whole_part(arrival - F.lit(first), width)
+    messages = audit_events_from(events, spark, sf_dir, number, 1, "ts")
 
     def moment(ms: int) -> Column:
         return F.timestamp_millis(F.lit(ms)).cast(kind)
 
-    def batch(number: int) -> DataFrame:
-        first, last = number * batch_ms - MAX_DELAY_MS, (number + 1) * batch_ms
-        near = F.col("ts").between(moment(first), moment(last))
-        return messages.where(near & (F.col("batch_id") == number)).select("value")
-
-    return batch
+    for n in range(batches):
+        start = first + n * width
+        near = F.col("ts").between(moment(start - most_delay_ms), moment(start + width))
+        yield messages.where(near & (F.col("batch_id") == n)).select("value")
 
 
 def audit_events_from(
@@ -213,6 +220,17 @@ def audit_events_from(
     return located.select(batch.alias("batch_id"), value.alias("value"), *keep)
 
 
+# Moves the events over a change of clocks in spring.
+SPRING_DAYS = 60
+
+
+def spring_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` with the events' times some weeks later, as a clock on the wall may show them."""
+    located = _located(big_table(spark, sf_dir, "events"), spark, sf_dir)
+    time = F.date_format(F.col("ts") + F.expr(f"INTERVAL {SPRING_DAYS} DAYS"), TIME_FORMAT)
+    return located.select(_audit_json(time, F.col("event_type")).alias("value"))
+
+
 def loose_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value`` with times a lenient reader accepts: unpadded, rolled over, or with a tail."""
     located = _located(big_table(spark, sf_dir, "events"), spark, sf_dir)

@@ -27,16 +27,19 @@ def clean_job(
     on_missing: str = "null",
     item_type: str | None = None,
     trigger: dict = EVERY_MINUTE,
+    pieces: int | None = None,
 ) -> StreamingQuery:
     """Clean a stream of messages; the dimension is looked up anew for each micro-batch.
 
+    ``pieces`` deals each micro-batch out over so many tasks, see ``spread``.
+
     ``sink`` receives ``kind, value`` in one pass over the input: cleaned records under ``clean``,
     unusable messages under the name of their problem.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         codes = dimension.current(batch.sparkSession)
-        sink.write(cleaned_records(spread(batch), codes, on_missing, item_type), batch_id)
+        sink.write(cleaned_records(spread(batch, pieces), codes, on_missing, item_type), batch_id)
 
     return (
         raw.writeStream.foreachBatch(run)

@@ -13,18 +13,18 @@ from auditflow.sources.streams import raw_stream
 
 def replay(
     spark: SparkSession,
-    numbers: Iterable[int],
-    batch: Callable[[int], DataFrame],
+    batches: Iterable[DataFrame],
     start: Callable[[DataFrame], StreamingQuery],
 ) -> None:
     """Land one arrival batch after the other and drain the job after each.
 
-    ``batch`` gives the texts of a batch in ``value`` by its number, ``start`` starts the job on a
+    ``batches`` give texts in ``value`` in the order of arrival, ``start`` starts the job on a
     stream of texts. A file source orders files by time stamp only, so landing is what makes the
-    order of arrival certain on any file system, however many files a batch has. Each round
-    resumes the job from its checkpoint.
+    order of arrival certain on any file system, however many files a batch has: what has landed
+    since the last round is one micro-batch, with no bound on its files. Each round resumes the job
+    from its checkpoint; the caller fixes their number.
     """
     landing = workspace(spark, "landing")
-    for number in sorted(numbers):
-        batch(number).write.mode("append").parquet(landing)
+    for batch in batches:
+        batch.write.mode("append").parquet(landing)
         start(raw_stream(spark, "parquet", path=landing)).awaitTermination()

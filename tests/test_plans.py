@@ -54,7 +54,8 @@ def test_a_large_dimension_is_not_broadcast(spark, stored, codes):
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in entry_points.queries() if not n.startswith("stream_")]
+    "name",
+    [n for n in entry_points.queries() if not n.startswith("stream_") and n not in entry_points.TEXT_QUERIES],
 )
 def test_no_query_multiplies_tables_or_runs_python(spark, name):
     plan = plan_of(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))

@@ -35,13 +35,24 @@ def test_stage_stores_rows_and_schema(spark):
     assert stored.inputFiles()
 
 
-def test_spread_moves_only_inputs_of_few_partitions(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
-    enough = spark.range(0, 10, 1, 4)
-    assert spread(enough) is enough
-    assert spread(spark.range(0, 10, 1, 1)).count() == 10
+def test_spread_moves_rows_on_request_only(spark):
+    one = spark.range(0, 10, 1, 1)
+    assert spread(one, None) is one
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(one, 4).count() == 10
 
 
 def test_prepare_applies_the_settings(spark):
     prepare(spark)
     assert {k: spark.conf.get(k) for k in SETTINGS} == SETTINGS
+
+
+def test_submitted_settings_win():
+    zone = "spark.sql.session.timeZone"
+    seen = {}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(set=seen.__setitem__),
+        sparkContext=SimpleNamespace(getConf=lambda: SimpleNamespace(contains=lambda key: key == zone)),
+    )
+    assert prepare(session) is session
+    assert seen == {k: v for k, v in SETTINGS.items() if k != zone}

@@ -1,4 +1,5 @@
 import json
+import shutil
 
 import golden
 import pytest
@@ -8,9 +9,9 @@ from reference_model import simulate
 from test_lateness import random_batches
 
 from auditflow.operators.rules import ReportRules
+from auditflow.plans import streams
 from auditflow.sources.dimension import AreaDimension
 from auditflow.sources.streams import raw_stream
-from auditflow.streaming import exact
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.jobs import clean_job, native_job, report_job
 from auditflow.streaming.sinks import ConnectorSink, FolderSink
@@ -114,8 +115,7 @@ def test_unusable_rows_are_set_aside(spark, tmp_path):
     assert feed.emissions() == [(2, golden.DAY_MS, "a", "X", 1, golden.ms("00:00:05"))]
 
 
-def test_every_copy_of_a_row_is_kept(spark, tmp_path, values, monkeypatch):
-    monkeypatch.setattr(exact, "COPY_BITS", 1)
+def test_every_copy_of_a_row_is_kept(spark, tmp_path, values):
     feed = Feed(spark, tmp_path)
     feed.report(values(golden.message("00:10:00")), 0)
     late, good = golden.message("00:00:05"), golden.message("00:09:30")
@@ -157,7 +157,9 @@ def test_exact_report_against_the_row_by_row_model(spark, tmp_path, seed):
 def test_clean_job_looks_the_dimension_up_for_each_batch(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     table = str(tmp_path / "areas")
-    dimension = AreaDimension(lambda s: s.read.parquet(table), refresh_seconds=0)
+    dimension = AreaDimension(
+        lambda s: s.read.parquet(table), refresh_seconds=0, path=f"{tmp_path}/kept", optional=True
+    )
 
     def store(rows):
         spark.createDataFrame(rows, "area string, codes string").write.mode("overwrite").parquet(
@@ -188,6 +190,59 @@ def test_clean_job_looks_the_dimension_up_for_each_batch(spark, tmp_path):
     assert areas == {0: None, 1: "A", 2: "B", 3: "B", 4: None}
 
 
+def test_the_first_read_of_the_dimension_must_work(spark, tmp_path):
+    dimension = AreaDimension(lambda s: s.read.parquet(f"{tmp_path}/none"), path=f"{tmp_path}/kept")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        dimension.current(spark)
+
+
+def test_the_last_good_snapshot_outlives_the_process(spark, tmp_path):
+    good = spark.createDataFrame([("A", "US")], "area string, codes string")
+    kept = f"{tmp_path}/kept"
+    assert AreaDimension(lambda s: good, path=kept).current(spark).collect()
+
+    def broken(session):
+        raise OSError("the table is away")
+
+    again = AreaDimension(broken, path=kept)
+    assert [tuple(r) for r in again.current(spark).collect()] == [("US", "A")]
+
+
+def test_a_snapshot_is_never_older_than_a_micro_batch(spark, tmp_path):
+    now, reads = [0.0], []
+
+    def load(session):
+        reads.append(now[0])
+        return session.createDataFrame([("A", "US")], "area string, codes string")
+
+    dimension = AreaDimension(load, clock=lambda: now[0], path=f"{tmp_path}/kept")
+    for now[0] in (0.0, 59.9, 120.1, 179.9):
+        dimension.current(spark)
+    assert reads == [0.0, 59.9, 120.1, 179.9]
+
+
+def test_a_fresh_checkpoint_overwrites_nothing(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.land(golden.message("00:00:05"), "{bad")
+    feed.run()
+    feed.land(golden.message("00:01:10"))
+    feed.run()
+    before = feed.emissions(), feed.side()
+    assert all(before)
+    with pytest.raises(StreamingQueryException, match="belongs to another run"):
+        report_job(feed.raw(), feed.report, f"{tmp_path}/fresh", DRAIN).awaitTermination()
+    assert (feed.emissions(), feed.side()) == before
+    feed.land(golden.message("00:02:30"))
+    feed.run()
+    assert len(feed.emissions()) == len(before[0]) + 1
+
+
+def test_output_of_an_unknown_run_is_refused(spark, tmp_path, values):
+    values("a").write.text(f"{tmp_path}/out/batch_id=0")
+    with pytest.raises(ValueError, match="unknown run"):
+        FolderSink(str(tmp_path / "out"), "text").write(values("b"), 0)
+
+
 def test_a_replayed_batch_overwrites_its_folder(spark, tmp_path, values):
     sink = FolderSink(str(tmp_path / "out"), "text")
     sink.write(values("a", "b"), 3)
@@ -210,6 +265,17 @@ def test_connector_rows_carry_their_topic(spark):
     assert ConnectorSink("jdbc").addressed(rows).columns == ["kind", "value"]
 
 
+def test_many_files_in_any_order_give_the_same_final_panes(spark, tmp_path):
+    """What the native report counts does not depend on how the events are cut into files."""
+    given = "/root/testdata/sf0.001"
+    folder = str(tmp_path / "cut")
+    shutil.copytree(given, folder, ignore=lambda d, names: ["events.parquet"])
+    events = spark.read.parquet(f"{given}/events.parquet")
+    events.repartition(40, F.xxhash64("event_id")).write.parquet(f"{folder}/events.parquet")
+    whole, cut = (streams.stream_native_final(spark, d) for d in (given, folder))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+
+
 def test_native_report_in_order(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     for times in (["00:00:05", "00:00:20"], ["00:00:59", "00:01:05"], ["00:03:00"]):
