@@ -183,11 +183,11 @@ QUERIES = {
 }
 
 _ARRIVAL = report.arrival_sql(STREAM_STEP_MS)
-_BATCH = f"""({_ARRIVAL} - (SELECT min({_ARRIVAL}) FROM events))
+BATCH_SQL = f"""({_ARRIVAL} - (SELECT min({_ARRIVAL}) FROM events))
              // ((SELECT max({_ARRIVAL}) - min({_ARRIVAL}) FROM events) // {STREAM_BATCHES} + 1)"""
 
 _CHANGELOG = f"""
-WITH {report.lateness_sql(_BATCH, STREAM_RULES)}
+WITH {report.lateness_sql(BATCH_SQL, STREAM_RULES)}
 SELECT batch_id, ws AS window_start_ms, type, area, n AS count,
        strftime(make_timestamp(mx * 1000), '%Y-%m-%d %H:%M:%S') AS data
 FROM emission"""
@@ -208,7 +208,7 @@ FROM item""",
     "stream_report_changelog": _CHANGELOG,
     "stream_restart": _CHANGELOG,
     "stream_late": f"""
-WITH {report.lateness_sql(_BATCH, STREAM_RULES)}
+WITH {report.lateness_sql(BATCH_SQL, STREAM_RULES)}
 SELECT batch_id, {report.LATE_LINE_SQL} FROM judged WHERE late""",
     "stream_native_final": f"""
 WITH {report.audit_sql()}

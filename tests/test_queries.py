@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_points
+from auditflow.plans import report, streams
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -45,3 +46,19 @@ def test_same_rows_as_sql(spark, oracle, name):
 
 def test_entry_gives_rows(spark):
     assert entry_points.entry(spark).take(1)
+
+
+@pytest.mark.parametrize("batch", [False, True])
+def test_refirings_and_late_rows_carry_weight(batch):
+    """A report that never fired again, or never found a row late, would not pass by the tables."""
+    folder = Path("/root/testdata/sf0.01")
+    if not folder.is_dir():
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    for name in ("events", "nation", "region"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    sql = report.lateness_sql() if batch else report.lateness_sql(streams.BATCH_SQL, streams.STREAM_RULES)
+    emitted, panes, late = con.execute(
+        f"WITH {sql} SELECT count(*), count(DISTINCT (ws, type, area)), (SELECT count(*) FROM judged WHERE late) FROM emission"
+    ).fetchone()
+    assert emitted - panes > 200 and late > 200
