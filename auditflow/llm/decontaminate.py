@@ -123,7 +123,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
         "readings",
     )
     texts = docs.withColumn("text_hash", F.xxhash64("text"))
-    texts = _null_safe_join(texts, parts, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    # Only the side without texts is built up in memory, and texts are not sorted.
+    texts = _null_safe_join(texts, parts.hint("shuffle_hash"), ["doc_id", "text_hash"])
     cut = texts.select("doc_id", "text_hash", tokens(F.col("text")).alias("t"), "readings").select(
         "doc_id", "text_hash", F.explode(F.transform("readings", lambda r: F.struct(
             r["item_id"].alias("item_id"), r["item_hash"].alias("item_hash"), r["shift"].alias("shift"),
