@@ -1,12 +1,10 @@
-"""What several operators share: tables, words, lower case and row identity."""
+"""What several operators share."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values. ASCII white space, which parts words everywhere in this package.
-SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -19,11 +17,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def word_list(text: Column) -> Column:
-    """The words of a text, parted by ASCII white space; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
-
-
 def with_columns_of(result: DataFrame, model: DataFrame) -> DataFrame:
     """``result`` with exactly the columns of ``model``, in their order."""
     return result.select(*(F.col(f"`{c}`") for c in model.columns))
