@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditflow.llm.common import table, with_columns_of
+from auditflow.session import stage
 
 UNKNOWN = "und"
 # Code points hashed at once, so that very long texts need bounded memory.
@@ -105,7 +106,8 @@ def _document_frequencies(rows: DataFrame, settings: Settings) -> tuple[np.ndarr
 
 def _sample(rows: DataFrame, settings: Settings) -> pd.DataFrame:
     """About ``rows_per_label`` rows of each label as counts, in the order of their hash."""
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows_of_label"))
+    # Stored, so that its size is known and texts need not be shuffled to meet a few labels.
+    sizes = stage(rows.groupBy("lang").agg(F.count("*").alias("rows_of_label")), "labels")
     unit = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     chosen = (
         rows.join(sizes, "lang")
