@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from auditflow.session import stage
 
 SIMILARITY = 0.8
 # Rarity is known per bucket of words, in steps of a third of a power of two.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 19
 BLANKS = " \t\n\x0b\x0c\r"
 LAST = (1 << 63) - 1
 _TINY = 1e-9
@@ -52,18 +54,37 @@ def _keys(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
 
 
-def _parity(keys: Column) -> Column:
-    """64 bits, each the parity of the words dealt to it: equal words of two lines cancel out."""
+def _parity(keys: Column, part: int, parts: int) -> Column:
+    """64 bits, each the parity of the words dealt to it: equal words of two lines cancel out.
+
+    Words are dealt to ``parts`` (a power of two) such numbers, of which this is one.
+    """
+    own = F.filter(keys, lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(parts - 1)) == part)
     bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(bit(k)))
+    return F.aggregate(own, F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(bit(k)))
+
+
+# Columns of parities: two for the postings of all classes, four for those of the few that are left.
+TWO = ("even", "odd")
+FOUR = ("bits0", "bits1", "bits2", "bits3")
+
+
+def _parities(names: tuple[str, ...]) -> list[Column]:
+    return [_parity(F.col("keys"), i, len(names)).alias(name) for i, name in enumerate(names)]
+
+
+def _ruled_out(names: tuple[str, ...], similarity: float) -> Column:
+    """Whether the parities of ``a`` and ``b`` differ in more words than similar lines can."""
+    different = [F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in names]
+    return F.col("a.n") + F.col("b.n") - sum(different, F.lit(0)) < 2 * _needed(similarity)
 
 
 def _described(lines: DataFrame, ranks: Column, similarity: float) -> DataFrame:
-    """``lines`` with ``keys``, ``n``, ``bits`` and ``prefix`` in place of ``line``."""
+    """``lines`` with ``keys``, ``n``, the parities ``TWO`` and ``prefix`` in place of ``line``."""
     others = [c for c in lines.columns if c != "line"]
     # The ranks are one value for the whole query; the optimizer puts them straight into the lookup.
     keyed = lines.select("*", ranks.alias("ranks")).select(*others, _keys(F.col("line"), F.col("ranks")).alias("keys"))
-    sized = keyed.select("*", F.size("keys").alias("n"), _parity(F.col("keys")).alias("bits"))
+    sized = keyed.select("*", F.size("keys").alias("n"), *_parities(TWO))
     first = F.col("n") - F.ceil(F.col("n") * similarity - _TINY).cast("int") + 1
     return sized.select("*", F.slice("keys", 1, first).alias("prefix"))
 
@@ -79,80 +100,116 @@ def _needed(similarity: float) -> Column:
     return F.ceil((F.col("a.n") + F.col("b.n")) * (similarity / (1 + similarity)) - _TINY)
 
 
-def _may_match(similarity: float) -> Column:
+def _may_match(similarity: float, parities: tuple[str, ...]) -> Column:
     """The filters by length, by place in the prefix and by parity, for postings ``a`` and ``b``."""
     shorter, longer = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
     behind = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
-    different = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
     return (
         (shorter >= longer * F.lit(similarity) - _TINY)
         & (F.least("a.pos", "b.pos") + behind >= _needed(similarity))
-        & (F.col("a.n") + F.col("b.n") - different >= 2 * _needed(similarity))
+        & ~_ruled_out(parities, similarity)
     )
 
 
-def _postings(lines: DataFrame, similarity: float, *others: str) -> DataFrame:
+def _postings(lines: DataFrame, similarity: float, parities: tuple[str, ...], *others: str) -> DataFrame:
     """A row for each prefix word of lines that can match a line with other words at all."""
     open_lines = lines.where(F.col("n") >= (F.col("n") + 1) * F.lit(similarity) - _TINY)
-    return open_lines.select(*others, "n", "bits", F.posexplode("prefix").alias("pos", "word"))
+    return open_lines.select(*others, "n", *parities, F.posexplode("prefix").alias("pos", "word"))
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A staged table, made when the shuffle files of the steps before it may go.
+
+    Spark removes them when the driver's JVM finds that nothing refers to them, by default every half
+    hour; the steps here would leave several times the input on the disks until then.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return stage(df, name)
+
+
+def _plausible(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Pairs that the parities do not rule out; much smaller rows than those with all words."""
+    sketch = known.select("doc", "place", "n", *FOUR)
+    a, b = sketch.alias("a"), sketch.alias("b")
+    both = pairs.alias("p").join(a, (F.col("p.doc") == F.col("a.doc")) & (F.col("p.place") == F.col("a.place")))
+    both = both.join(b, (F.col("p.e_doc") == F.col("b.doc")) & (F.col("p.e_place") == F.col("b.place")))
+    return both.where(~_ruled_out(FOUR, similarity)).select("p.*")
+
+
+def _verified(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """``doc, place`` of the later line of pairs whose words are similar enough."""
-    late = lines.select(F.col("doc").alias("doc"), F.col("place").alias("place"), F.col("keys").alias("late"), F.col("n").alias("late_n"))
-    early = lines.select(F.col("doc").alias("e_doc"), F.col("place").alias("e_place"), F.col("keys").alias("early"), F.col("n").alias("early_n"))
+    late = known.select("doc", "place", F.col("keys").alias("late"))
+    early = known.select(F.col("doc").alias("e_doc"), F.col("place").alias("e_place"), F.col("keys").alias("early"))
     both = pairs.join(late, ["doc", "place"]).join(early, ["e_doc", "e_place"])
     shared = F.size(F.array_intersect("late", "early"))
-    enough = shared >= (F.col("late_n") + F.col("early_n") - shared) * F.lit(similarity) - _TINY
+    enough = shared >= (F.size("late") + F.size("early") - shared) * F.lit(similarity) - _TINY
     return both.where(enough).select("doc", "place").distinct()
 
 
+def _likeliest(entries: DataFrame) -> DataFrame:
+    """For each line one earlier line: of those that come first for a prefix word, the most frequent."""
+    entries = entries.select("word", "doc", "place")
+    first = entries.groupBy("word").agg(F.min(F.struct("doc", "place")).alias("e"))
+    both = entries.join(first, "word").where(F.col("e") < F.struct("doc", "place"))
+    counted = both.groupBy("doc", "place", F.col("e.doc").alias("e_doc"), F.col("e.place").alias("e_place")).agg(
+        F.count("*").alias("shared")
+    )
+    best = F.max(F.struct("shared", "e_doc", "e_place")).alias("best")
+    return counted.groupBy("doc", "place").agg(best).select("doc", "place", "best.e_doc", "best.e_place")
+
+
 def _later(postings: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of a line and an earlier one that share a prefix word and pass the filters."""
+    """Pairs of a line and an earlier one that share a prefix word and pass the filters.
+
+    A pair comes out once, for the first word that the prefixes share.
+    """
     a, b = postings.alias("a"), others.alias("b")
     earlier = F.struct("b.doc", "b.place") < F.struct("a.doc", "a.place")
-    joined = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & _may_match(similarity))
-    return joined.select(
-        "a.doc", "a.place", F.col("b.doc").alias("e_doc"), F.col("b.place").alias("e_place")
-    ).distinct()
+    once = F.element_at(F.array_intersect("a.prefix", "b.prefix"), 1) == F.col("a.word")
+    joined = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & _may_match(similarity, FOUR) & once)
+    return joined.select("a.doc", "a.place", F.col("b.doc").alias("e_doc"), F.col("b.place").alias("e_place"))
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc, tag, kept``: the numbers of the lines with words that stay; see ``line_dedup``."""
     keyed = _keyed(docs.select("doc_id", "text").where("text is not null"))
-    ranks = stage(rarity(docs), "line-ranks").select("ranks").scalar()
+    ranks = _stored(rarity(docs), "line-ranks").select("ranks").scalar()
     lines = keyed.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("number", "line")).where(~_blank(F.col("line")))
     place = F.shiftleft(F.col("tag"), 32).bitwiseOR(F.col("number"))
     described = _described(lines.select("doc", place.alias("place"), "line"), ranks, similarity)
     # Lines of the same words are one class, and all but the first of a class go.
     code = [F.xxhash64("keys", F.lit(i)).alias(f"code{i}") for i in (1, 2)]
-    first = F.min(F.struct("doc", "place", "n", "bits", "prefix")).alias("f")
-    classes = stage(described.select(*code, "doc", "place", "n", "bits", "prefix").groupBy("code1", "code2").agg(first).select("code1", "f.*"), "line-classes")
+    first = F.min(F.struct("doc", "place", "n", *TWO, "prefix")).alias("f")
+    coded = described.select(*code, "doc", "place", "n", *TWO, "prefix")
+    classes = _stored(coded.groupBy("code1", "code2").agg(first).select("code1", "f.*"), "line-classes")
     # Which classes may have a partner at all.
-    postings = _postings(classes, similarity, "code1")
+    postings = _postings(classes, similarity, TWO, "code1")
     a, b = postings.alias("a"), postings.alias("b")
-    partner = (F.col("a.word") == F.col("b.word")) & (F.col("a.code1") != F.col("b.code1")) & _may_match(similarity)
-    likely = stage(a.join(b, partner, "left_semi").select("code1").distinct(), "line-likely")
+    partner = (F.col("a.word") == F.col("b.word")) & (F.col("a.code1") != F.col("b.code1")) & _may_match(similarity, TWO)
+    likely = _stored(a.join(b, partner, "left_semi").select("code1").distinct(), "line-likely")
     asked = classes.select("code1", "doc", "place").join(likely, "code1", "left_semi")
     number = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
     by_doc = asked.groupBy("doc", F.shiftright("place", 32).alias("tag")).agg(F.collect_set(number).alias("numbers"))
-    # Rows equal in doc_id and text are read once.
-    texts = keyed.select("doc", "tag", "text").join(by_doc, ["doc", "tag"])
-    parts = texts.select("doc", "tag", F.split("text", "\n").alias("all"), "numbers").select(
+    # Rows equal in doc_id and text are read once; mostly there are none.
+    repeated = _stored(keyed.groupBy("doc", "tag").count().where("count > 1").select("doc", "tag"), "line-repeated")
+    rows = keyed.select("doc", "tag", "text")
+    once = rows.join(repeated, ["doc", "tag"], "left_anti").unionByName(
+        rows.join(repeated, ["doc", "tag"], "left_semi").dropDuplicates(["doc", "tag"])
+    )
+    parts = once.join(by_doc, ["doc", "tag"]).select("doc", "tag", F.split("text", "\n").alias("all"), "numbers").select(
         "doc", "tag", F.explode(F.transform("numbers", lambda i: F.struct(i.alias("number"), F.get("all", i).alias("line")))).alias("l")
     ).select("doc", "tag", "l.*")
-    known = stage(
-        _described(parts.select("doc", place.alias("place"), "line"), ranks, similarity).dropDuplicates(["doc", "place"]),
-        "line-known",
-    )
-    # First against the earliest line of each prefix word: this settles groups of near copies with
-    # one pair per line. Then what is left against all earlier lines.
-    entries = _postings(known, similarity, "doc", "place")
-    earliest = entries.groupBy("word").agg(F.min(F.struct("doc", "place", "n", "bits", "pos")).alias("e")).select("word", "e.*")
-    settled = stage(_verified(_later(entries, earliest, similarity), known, similarity), "line-settled")
+    described = _described(parts.select("doc", place.alias("place"), "line"), ranks, similarity)
+    known = _stored(described.select("*", *_parities(FOUR)), "line-known")
+    # First each line against its likeliest partner: this settles groups of near copies with one pair
+    # per line. Then what is left against all earlier lines.
+    entries = _stored(_postings(known, similarity, FOUR, "doc", "place", "prefix"), "line-entries")
+    likeliest = _stored(_plausible(_likeliest(entries), known, similarity), "line-likeliest")
+    settled = _stored(_verified(likeliest, known, similarity), "line-settled")
     left = entries.join(settled, ["doc", "place"], "left_anti")
-    more = _verified(_later(left, entries, similarity), known, similarity)
-    gone = stage(settled.union(more), "line-gone")
+    pairs = _stored(_later(left, entries, similarity), "line-pairs")
+    gone = _stored(settled.union(_verified(pairs, known, similarity)), "line-gone")
     staying = classes.select("doc", "place").join(gone, ["doc", "place"], "left_anti")
     return staying.groupBy("doc", F.shiftright("place", 32).alias("tag")).agg(F.sort_array(F.collect_set(number)).alias("kept"))
 
