@@ -44,7 +44,7 @@ def runs_hash(hashes: np.ndarray, length: int) -> np.ndarray:
 
 
 def windows(hashes: np.ndarray, length: int, seed_words: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(seed, mark) of each window: its least k-mer, and 32 bits of a hash of the whole window."""
+    """(seed, mark) of each window: its least k-mer, and a hash of the whole window."""
     kmers = runs_hash(hashes, seed_words)
     span = length - seed_words + 1
     have = 1
@@ -52,22 +52,31 @@ def windows(hashes: np.ndarray, length: int, seed_words: int = SEED_WORDS) -> tu
         step = min(have, span - have)
         kmers = np.minimum(kmers[:-step], kmers[step:]) if len(kmers) > step else kmers[:0]
         have += step
-    return kmers, (runs_hash(hashes, length) >> np.uint64(32)).astype("<u4")
+    return kmers, runs_hash(hashes, length)
 
 
 def pair_key(seeds: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    return mix(seeds + marks.astype(np.uint64) * np.uint64(_P))
+    return mix(seeds + marks * np.uint64(_P))
 
 
-def first_of(keys: np.ndarray) -> np.ndarray:
-    """For each key the index of the first equal one."""
+def _changes(ranked: np.ndarray) -> np.ndarray:
+    return np.append(True, ranked[1:] != ranked[:-1])[:len(ranked)]
+
+
+def first_of(seeds: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For each pair of a seed and a mark the index of the first equal one.
+
+    Pairs are put in the order of one number made of both; where it cannot tell two apart, of both.
+    """
+    keys = pair_key(seeds, marks)
     order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    new = np.ones(len(ranked), dtype=bool)
-    new[1:] = ranked[1:] != ranked[:-1]
+    new = _changes(seeds[order]) | _changes(marks[order])
+    if (new != _changes(keys[order])).any():
+        order = np.lexsort((marks, seeds))
+        new = _changes(seeds[order]) | _changes(marks[order])
     heads = np.flatnonzero(new)
     out = np.empty(len(keys), dtype=np.int64)
-    out[order] = np.repeat(order[heads], np.diff(np.append(heads, len(ranked))))
+    out[order] = np.repeat(order[heads], np.diff(np.append(heads, len(keys))))
     return out
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditflow.llm.common import table
-from auditflow.llm.factors import CHUNK, chunks, first_of, joined_runs, pair_key, windows, word_hashes
+from auditflow.llm.factors import CHUNK, chunks, first_of, joined_runs, windows, word_hashes
 
 WINDOW = 13
 LAST = (1 << 63) - 1
@@ -37,14 +37,14 @@ def _entries(doc: np.ndarray, place: np.ndarray, seed: np.ndarray, mark: np.ndar
     Windows that a smaller document of the same batch has are factors already and are passed on as
     such; so of a window that many documents share, a batch sends one document's.
     """
-    first = first_of(pair_key(seed, mark))
+    first = first_of(seed, mark)
     known = doc[first] < doc
     out = []
     asked = np.flatnonzero(~known)
     if len(asked):
         starts, lengths = joined_runs(doc[asked], place[asked], seed[asked], rising=(1,))
         at = asked[starts]
-        offsets = np.append(0, np.cumsum(lengths * 4))
+        offsets = np.append(0, np.cumsum(lengths * mark.itemsize))
         out.append(_batch(seed[at].view(np.int64), doc[at], place[at], _binary(mark[asked].tobytes(), offsets)))
     if len(told := np.flatnonzero(known)):
         ref, ref_place = doc[first[told]], place[first[told]]
@@ -101,25 +101,24 @@ def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = np.frombuffer(marks.buffers()[1], dtype="<i4")[marks.offset:marks.offset + len(marks) + 1]
             data = np.frombuffer(marks.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] else np.empty(0, np.uint8)
             lengths = np.diff(offsets)
-            told = lengths % 4 == 1
+            told = lengths % 8 == 1
             if told.any():
                 packed = data[np.repeat(told, lengths)].view([("kind", "u1"), ("n", "<i8"), ("ref", "<i8"), ("ref_place", "<i8")])
                 yield _factors(docs[told], places[told], packed["n"], packed["ref"], packed["ref_place"])
             asked = ~told
-            counts = lengths[asked] // 4
+            counts = lengths[asked] // 8
             if not len(counts):
                 continue
-            mark = data[np.repeat(asked, lengths)].view("<u4")
+            mark = data[np.repeat(asked, lengths)].view("<u8")
             within = np.arange(len(mark)) - np.repeat(np.cumsum(counts) - counts, counts)
             seed = np.repeat(seeds[asked].view(np.uint64), counts)
             doc, place = np.repeat(docs[asked], counts), np.repeat(places[asked], counts) + within
-            key = pair_key(seed, mark)
-            if carried is not None and carried[0] == seed[0]:
-                n = len(carried[1])
-                key, doc, place = (np.concatenate(p) for p in zip(carried[1:], (key, doc, place)))
+            if carried is not None and carried[0][0] == seed[0]:
+                n = len(carried[0])
+                seed, mark, doc, place = (np.concatenate(p) for p in zip(carried, (seed, mark, doc, place)))
             else:
                 n = 0
-            first = first_of(key)
+            first = first_of(seed, mark)
             found = np.flatnonzero(doc[first] < doc)
             found = found[found >= n]
             if len(found):
@@ -127,9 +126,8 @@ def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts, runs = joined_runs(doc[found], place[found], ref, ref_place, rising=(1, 3))
                 at = found[starts]
                 yield _factors(doc[at], place[at], runs, ref[starts], ref_place[starts])
-            last = np.append(np.full(n, seed[0], dtype=np.uint64), seed) == seed[-1]
-            keep = np.flatnonzero(last & (first == np.arange(len(first))))
-            carried = (seed[-1], key[keep], doc[keep], place[keep])
+            keep = np.flatnonzero((seed == seed[-1]) & (first == np.arange(len(first))))
+            carried = (seed[keep], mark[keep], doc[keep], place[keep])
 
 
 def _factors(*columns: np.ndarray) -> pa.RecordBatch:
@@ -145,7 +143,7 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     its block each window is looked up; a run of them that goes on at one place of the reference is
     a factor, ``n`` windows from word ``at`` on, equal to the text of ``ref`` from ``ref_at`` on.
     The windows over the border of two factors are looked up like all others. A window is known by
-    the 64 bits of its seed and 32 bits of its own. A null doc_id stands above all others.
+    the 64 bits of its seed and 64 bits of its own, and both are compared. A null doc_id stands above all others.
     """
     read = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     entries = read.mapInArrow(_index(window), _INDEX).repartition("seed")

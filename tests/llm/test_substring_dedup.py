@@ -82,3 +82,22 @@ def test_windows_of_equal_words_have_equal_seeds_and_marks():
     assert len(seeds) == len(words) - 8
     assert (seeds[:7] == seeds[7:14]).all() and (marks[:7] == marks[7:14]).all() and len(set(marks)) == 7
     assert len(X.windows(words[:8], 9)[0]) == 0
+
+
+def test_windows_of_one_seed_are_told_apart_by_more_than_32_bits(docs):
+    """The first six words are the seed of both, and 32 bits of the windows' hashes are equal."""
+    one = "the quick phrase number 122173 of a360 b921 r1 r2 r3 r4 r5"
+    other = "the quick phrase number 122173 of a591 b684 r1 r2 r3 r4 r5"
+    (seeds, marks), (same, own) = (X.windows(X.word_hashes(t.encode().split()), 13) for t in (one, other))
+    assert seeds[0] == same[0] and int(marks[0]) >> 32 == int(own[0]) >> 32 and marks[0] != own[0]
+    rows = [(1, one), (2, other), (3, other)]
+    for df in (docs(*rows).coalesce(1), docs(*rows).repartition(3)):
+        assert got(df, 13) == plain(rows, 13)
+
+
+def test_first_of_compares_both_numbers(monkeypatch):
+    seeds, marks = (X.np.array(c, dtype="u8") for c in ([1, 1, 2, 1, 2, 1], [5, 6, 5, 5, 5, 6]))
+    expected = [0, 1, 2, 0, 2, 1]
+    assert X.first_of(seeds, marks).tolist() == expected
+    monkeypatch.setattr(X, "pair_key", lambda s, m: X.np.zeros_like(s))
+    assert X.first_of(seeds, marks).tolist() == expected
