@@ -65,14 +65,57 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
     )
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+def _slots(beside: bool) -> Column:
+    """The distinct slots in the windows ``at`` of a reading, with the item's and the document's value.
+
+    With ``beside``, numbers before different words of the item are different slots.
+    """
+    return F.array_distinct(F.filter(
+        F.transform("words", lambda w, i: F.when(
+            w.isin(NAME, NUMBER, UNIT)
+            & F.exists("at", lambda a: (a <= i) & (i < a + F.col("length"))),
+            F.struct(
+                w.alias("kind"), F.get("raw", i).alias("item"), _beside(w, i, beside).alias("beside"),
+                F.get("here_raw", i).alias("doc"),
+            ),
+        )),
+        lambda s: s.isNotNull(),
+    ))
+
+
+def _beside(word: Column, i: Column, beside: bool) -> Column:
+    return F.when((word == NUMBER) & F.lit(beside), F.coalesce(F.get("raw", i + 1), F.lit(""))).otherwise("")
+
+
+def _key(slot: Column) -> Column:
+    return F.struct(slot["kind"], slot["item"], slot["beside"])
+
+
+def _judged(readings: DataFrame) -> DataFrame:
+    """Readings with the windows ``at`` whose words are the item's own or that hold no contradicting slot."""
+    keys = F.transform(_slots(True), _key)
+    torn = F.filter(F.array_distinct(keys), lambda k: F.size(F.filter("keys", lambda x: x == k)) > 1)
+    held = readings.withColumn("keys", keys).withColumn("torn", torn)
+    odd = F.transform("words", lambda w, i: F.exists(
+        "torn", lambda k: k == F.struct(w, F.get("raw", i), _beside(w, i, True))
+    ))
+    of = lambda c, a: F.slice(c, a + 1, F.col("length"))
+    fits = F.filter("at", lambda a: (of("here_raw", a) == of("raw", a)) | ~F.exists(of("odd", a), lambda x: x))
+    return held.withColumn("odd", odd).withColumn("at", fits).where(F.size("at") > 0).drop("keys", "torn", "odd")
+
+
+def leaks(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, thorough: bool = False
+) -> DataFrame:
     """Documents that hold benchmark items, also with other numbers, names and units.
 
     ``doc_id, text_hash, item_id, n_windows, item_windows, first_word, same_values`` per document and
     item. Both are turned into template words; windows of ``window`` of them are joined by hash, and
     an item shorter than that is one window. Windows that match at one shift form a reading. It
     counts if the words themselves agree and its slots are consistent: wherever the item has one
-    value in slots of a type, the document has one, too. A document leaks an item if the readings
+    value in slots of a type, the document has one, too. With ``thorough`` only the windows that
+    hold a slot with two values are left out, not the reading; windows of the item's own words always
+    count, and numbers are one slot only before one word. A document leaks an item if the readings
     that count have at least ``share`` of its windows. ``same_values`` says that all slots have the
     item's own values; ``first_word`` is the first word of the earliest reading, from 0.
 
@@ -139,16 +182,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
         F.filter("at", lambda a: F.transform(F.slice("here", a + 1, F.col("length")), canonical)
                  == F.slice("words", a + 1, F.col("length"))),
     )
-    slot = F.filter(
-        F.transform("words", lambda w, i: F.when(
-            w.isin(NAME, NUMBER, UNIT)
-            & F.exists("at", lambda a: (a <= i) & (i < a + F.col("length"))),
-            F.struct(w.alias("kind"), F.get("raw", i).alias("item"), F.get("here_raw", i).alias("doc")),
-        )),
-        lambda s: s.isNotNull(),
-    )
-    slotted = checked.where(F.size("at") > 0).withColumn("slots", F.array_distinct(slot))
-    consistent = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["item"]))))
+    checked = checked.where(F.size("at") > 0)
+    if thorough:
+        checked = _judged(checked)
+    slotted = checked.withColumn("slots", _slots(thorough))
+    consistent = F.lit(True) if thorough else F.size("slots") == F.size(F.array_distinct(F.transform("slots", _key)))
     same = F.forall("slots", lambda s: s["item"] == s["doc"])
     counted = slotted.where(consistent).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"),
@@ -182,9 +220,11 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(other, [left[k].eqNullSafe(other[f"__{k}"]) for k in keys]).drop(*(f"__{k}" for k in keys))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+def clean(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, thorough: bool = False
+) -> DataFrame:
     """``docs`` without those that leak an item; columns as in ``docs``."""
-    found = leaks(docs, benchmark, window, share).select("doc_id", "text_hash").distinct()
+    found = leaks(docs, benchmark, window, share, thorough).select("doc_id", "text_hash").distinct()
     found = stage(found, "leaks").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"))
     same = docs["doc_id"].eqNullSafe(found["__doc"]) & (F.xxhash64(docs["text"]) == found["__text"])
     return with_columns_of(docs.join(found, same, "left_anti"), docs)

@@ -71,3 +71,22 @@ def test_empty_tables(docs, items):
     assert D.leaks(docs(), items((1, Q))).count() == 0
     assert D.leaks(docs((1, Q)), items()).count() == 0
     assert D.clean(docs((1, Q)), items()).count() == 1
+
+
+def test_slots_judged_per_window(docs, items):
+    """One changed value leaves out its own windows only; 30 km and 30 minutes are two slots."""
+    odd = Q.replace("at 30 km", "at 12 km").replace("30 minutes", "77 minutes")
+    twice = Q.replace("with Anna", "with Zoe")
+    whole = Q.replace("Anna", "Zoe")
+    torn = "A train with Zoe leaves Paris at 30 km per hour and Bob waits 30 minutes before he follows Max at 45 miles."
+    item = "A train with Anna leaves Paris at 30 km per hour and Anna waits 30 minutes before Anna follows Anna at 45 km."
+    many = "A train with Zoe leaves Paris at 30 km per hour and Max waits 30 minutes before Tom follows Kim at 45 km."
+    rows = [(1, odd), (2, twice), (3, whole), (4, f"intro {Q}"), (5, many), (6, torn), (7, LONG)]
+    got = D.leaks(docs(*rows), items((1, Q), (2, item)), thorough=True).collect()
+    by = {(r.doc_id, r.item_id): r for r in got}
+    assert (by[1, 1].n_windows, by[1, 1].same_values) == (by[1, 1].item_windows, False)
+    assert (by[2, 1].n_windows, by[2, 1].same_values) == (by[2, 1].item_windows - 4, True)
+    assert (by[3, 1].n_windows, by[4, 1].n_windows) == (by[3, 1].item_windows,) * 2
+    assert (3, 1) in by and not {(5, 2), (6, 2), (7, 1)} & set(by)
+    kept = D.clean(docs(*rows), items((1, Q)), thorough=True).collect()
+    assert not {1, 2, 3, 4} & {r.doc_id for r in kept}
