@@ -10,6 +10,8 @@ from auditflow.session import stage
 
 # Template words in a window, and the share of an item's windows that makes a leak.
 WINDOW, SHARE = 8, 0.5
+# Words of an item in a row that make a leak whatever its share, where that is looked for.
+RUN = 13
 # A word or number with the sentence mark and spaces before it.
 TOKEN = r"[.!?:]?[ ]*(?:[\p{L}\p{M}]+|[0-9]+(?:[.,/][0-9]+)*)"
 NAME, NUMBER, UNIT = "<name>", "<num>", "<unit>"
@@ -115,7 +117,8 @@ def leaks(
     counts if the words themselves agree and its slots are consistent: wherever the item has one
     value in slots of a type, the document has one, too. With ``thorough`` only the windows that
     hold a slot with two values are left out, not the reading; windows of the item's own words always
-    count, and numbers are one slot only before one word. A document leaks an item if the readings
+    count, numbers are one slot only before one word, and ``RUN`` words of the item in a row make a
+    leak whatever their share. Otherwise a document leaks an item if the readings
     that count have at least ``share`` of its windows. ``same_values`` says that all slots have the
     item's own values; ``first_word`` is the first word of the earliest reading, from 0.
 
@@ -153,9 +156,12 @@ def leaks(
         F.collect_set("at").alias("at"), F.first("windows").alias("windows")
     )
     shifts = stage(shifts, "shifts")
+    least = lambda windows: F.ceil(F.col(windows) * share)
+    # Windows in a row that RUN words have.
+    row = max(1, RUN - window + 1)
     enough = shifts.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.sum(F.size("at")).alias("n"), F.first("windows").alias("windows")
-    ).where(F.col("n") >= F.ceil(F.col("windows") * share)).drop("windows", "n")
+    ).where(F.col("n") >= (F.least(least("windows"), F.lit(row)) if thorough else least("windows"))).drop("windows", "n")
     keys = ["doc_id", "text_hash", "item_id", "item_hash"]
     likely = _null_safe(shifts, enough, keys)
     readings = _null_safe_join(likely, items.select("item_id", "item_hash", "raw", "words", "length"), ["item_id", "item_hash"])
@@ -188,13 +194,20 @@ def leaks(
     slotted = checked.withColumn("slots", _slots(thorough))
     consistent = F.lit(True) if thorough else F.size("slots") == F.size(F.array_distinct(F.transform("slots", _key)))
     same = F.forall("slots", lambda s: s["item"] == s["doc"])
+    own = F.filter("at", lambda a: F.slice("here_raw", a + 1, F.col("length")) == F.slice("raw", a + 1, F.col("length")))
+    quoted = F.exists("own", lambda a: F.forall(F.sequence(F.lit(1), F.lit(row)), lambda k: F.array_contains("own", a + k - 1)))
+    if thorough:
+        slotted = slotted.withColumn("own", own).withColumn("quoted", quoted)
+    else:
+        slotted = slotted.withColumn("quoted", F.lit(False))
     counted = slotted.where(consistent).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"),
         F.first("windows").alias("item_windows"),
         F.min(F.col("shift") + F.array_min("at")).alias("first_word"),
         F.bool_and(same).alias("same_values"),
+        F.bool_or("quoted").alias("quoted"),
     )
-    return counted.where(F.col("n_windows") >= F.ceil(F.col("item_windows") * share)).select(
+    return counted.where((F.col("n_windows") >= least("item_windows")) | F.col("quoted")).select(
         "doc_id", "text_hash", "item_id",
         *(F.col(c).cast("long").alias(c) for c in ("n_windows", "item_windows", "first_word")), "same_values",
     )

@@ -90,3 +90,13 @@ def test_slots_judged_per_window(docs, items):
     assert (3, 1) in by and not {(5, 2), (6, 2), (7, 1)} & set(by)
     kept = D.clean(docs(*rows), items((1, Q)), thorough=True).collect()
     assert not {1, 2, 3, 4} & {r.doc_id for r in kept}
+
+
+def test_a_run_of_words_is_a_leak_whatever_its_share(docs, items):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59)]
+    part = lambda a, n: " ".join(words[a:a + n])
+    apart = f"{part(0, 12)} x {part(20, 12)}"
+    rows = [(1, part(10, 29)), (2, f"a b {part(46, 13)}"), (3, part(5, 12)), (4, apart)]
+    questions = items((1, " ".join(words)))
+    assert sorted(r.doc_id for r in D.leaks(docs(*rows), questions, thorough=True).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in D.clean(docs(*rows), questions, thorough=True).collect()) == [3, 4]
