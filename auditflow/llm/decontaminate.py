@@ -34,16 +34,19 @@ def bare(token: Column) -> Column:
     return F.lower(F.ltrim(token, F.lit(".!?: ")))
 
 
+def _capitalised(word: Column) -> Column:
+    first, second = F.substring(word, 1, 1), F.substring(word, 2, 1)
+    return (first != F.lower(first)) & (second != F.upper(second))
+
+
 def canonical(token: Column) -> Column:
     """The word in lower case, or the placeholder of its type.
 
     A name is a capitalised word inside a sentence: a space and no sentence mark stands before it.
     """
-    first, second = F.substring(token, 2, 1), F.substring(token, 3, 1)
-    name = (F.substring(token, 1, 1) == " ") & (first != F.lower(first)) & (second != F.upper(second))
     word = bare(token)
     return (
-        F.when(name, NAME)
+        F.when((F.substring(token, 1, 1) == " ") & _capitalised(F.substring(token, 2, 2)), NAME)
         .when((word >= "0") & (word < ":"), NUMBER)
         .when(word.isin(*UNITS), UNIT)
         .otherwise(word)
@@ -56,12 +59,18 @@ def _windows(hashes: Column, length: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(length))))
 
 
-def _items(benchmark: DataFrame, window: int) -> DataFrame:
-    """``item_id, item_hash, raw, words, n`` of the benchmark rows that have words, equal rows once."""
+def _items(benchmark: DataFrame, window: int, thorough: bool) -> DataFrame:
+    """``item_id, item_hash, raw, words, named, length, windows`` of the rows that have words, equal rows once.
+
+    ``named`` says that the first word would be a name inside a sentence. A thorough search takes the
+    words of items shorter than a window as they are.
+    """
     rows = benchmark.select("item_id", F.xxhash64("text").alias("item_hash"), tokens(F.col("text")).alias("t")).distinct()
     return rows.where(F.size("t") > 0).select(
         "item_id", "item_hash",
-        F.transform("t", bare).alias("raw"), F.transform("t", canonical).alias("words"),
+        F.transform("t", bare).alias("raw"),
+        F.when((F.size("t") < window) & F.lit(thorough), F.transform("t", bare)).otherwise(F.transform("t", canonical)).alias("words"),
+        (_capitalised(F.ltrim(F.get("t", F.lit(0)), F.lit(".!?: "))) & (F.size("t") >= window)).alias("named"),
         F.least(F.size("t"), F.lit(window)).alias("length"),
         (F.size("t") - F.least(F.size("t"), F.lit(window)) + 1).alias("windows"),
     )
@@ -118,7 +127,8 @@ def leaks(
     value in slots of a type, the document has one, too. With ``thorough`` only the windows that
     hold a slot with two values are left out, not the reading; windows of the item's own words always
     count, numbers are one slot only before one word, and ``RUN`` words of the item in a row make a
-    leak whatever their share. Otherwise a document leaks an item if the readings
+    leak whatever their share; the first word of an item may be a name in the document, and an item
+    shorter than a window is found by its own words. Otherwise a document leaks an item if the readings
     that count have at least ``share`` of its windows. ``same_values`` says that all slots have the
     item's own values; ``first_word`` is the first word of the earliest reading, from 0.
 
@@ -128,24 +138,31 @@ def leaks(
     paired within a group: a passage that many documents share costs a row per document and window.
     """
     docs = docs.select("doc_id", "text")
-    items = stage(_items(benchmark, window), "items")
+    items = stage(_items(benchmark, window, thorough), "items")
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())
     if not lengths:
         lengths = [window]
-    wanted = stage(
-        items.select(
-            "item_id", "item_hash", "length", "windows",
-            F.posexplode(_by_length(F.transform("words", lambda w: F.xxhash64(w)), lengths)).alias("at", "hash"),
-        ),
-        "item-windows",
+    word_hashes = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    by_place = items.select(
+        "item_id", "item_hash", "length", "windows", F.posexplode(_by_length(word_hashes("words"), lengths)).alias("at", "hash")
     )
+    if thorough:
+        start = _as_name(F.slice("words", 1, window))
+        by_place = by_place.unionByName(items.where("named").select(
+            "item_id", "item_hash", "length", "windows", F.lit(0).alias("at"),
+            F.get(_windows(word_hashes(start), window), F.lit(0)).alias("hash"),
+        ))
+    wanted = stage(by_place, "item-windows")
+    words = tokens(F.col("text"))
     hashed = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.transform(tokens(F.col("text")), lambda t: F.xxhash64(canonical(t))).alias("hashes"),
+        F.transform(words, lambda t: F.xxhash64(canonical(t))).alias("hashes"),
+        F.transform(words, lambda t: F.xxhash64(bare(t))).alias("own_hashes"),
     )
     matches = []
     for length in lengths:
-        here = hashed.select("doc_id", "text_hash", F.posexplode(_windows(F.col("hashes"), length)).alias("place", "hash"))
+        of = F.col("own_hashes" if thorough and length < window else "hashes")
+        here = hashed.select("doc_id", "text_hash", F.posexplode(_windows(of, length)).alias("place", "hash"))
         there = wanted.where(F.col("length") == length).select("item_id", "item_hash", "windows", "at", "hash")
         matches.append(here.join(there, "hash"))
     found = matches[0]
@@ -164,10 +181,10 @@ def leaks(
     ).where(F.col("n") >= (F.least(least("windows"), F.lit(row)) if thorough else least("windows"))).drop("windows", "n")
     keys = ["doc_id", "text_hash", "item_id", "item_hash"]
     likely = _null_safe(shifts, enough, keys)
-    readings = _null_safe_join(likely, items.select("item_id", "item_hash", "raw", "words", "length"), ["item_id", "item_hash"])
+    readings = _null_safe_join(likely, items.select("item_id", "item_hash", "raw", "words", "named", "length"), ["item_id", "item_hash"])
     parts = stage(
         readings.groupBy("doc_id", "text_hash").agg(
-            F.collect_list(F.struct("item_id", "item_hash", "shift", "at", "windows", "raw", "words", "length")).alias("readings")
+            F.collect_list(F.struct("item_id", "item_hash", "shift", "at", "windows", "raw", "words", "named", "length")).alias("readings")
         ),
         "readings",
     )
@@ -178,16 +195,20 @@ def leaks(
         "doc_id", "text_hash", F.explode(F.transform("readings", lambda r: F.struct(
             r["item_id"].alias("item_id"), r["item_hash"].alias("item_hash"), r["shift"].alias("shift"),
             r["at"].alias("at"), r["windows"].alias("windows"), r["raw"].alias("raw"), r["words"].alias("words"),
-            r["length"].alias("length"),
+            r["named"].alias("named"), r["length"].alias("length"),
             # The document's words that stand against the item's.
             F.transform(r["words"], lambda _, i: F.get(F.col("t"), r["shift"] + i)).alias("here"),
         ))).alias("r"),
     ).select("doc_id", "text_hash", "r.*")
-    checked = cut.withColumn("here_raw", F.transform("here", bare)).withColumn(
-        "at",
-        F.filter("at", lambda a: F.transform(F.slice("here", a + 1, F.col("length")), canonical)
-                 == F.slice("words", a + 1, F.col("length"))),
-    )
+    cut = cut.withColumn("here_raw", F.transform("here", bare))
+    here = lambda a: F.transform(F.slice("here", a + 1, F.col("length")), canonical)
+    if thorough:
+        # A first word that is a name in the document is read as one.
+        name = F.col("named") & (canonical(F.get("here", F.lit(0))) == NAME)
+        cut = cut.withColumn("words", F.when(name, _as_name(F.col("words"))).otherwise(F.col("words")))
+        template = here
+        here = lambda a: F.when(F.col("length") < window, F.slice("here_raw", a + 1, F.col("length"))).otherwise(template(a))
+    checked = cut.withColumn("at", F.filter("at", lambda a: here(a) == F.slice("words", a + 1, F.col("length"))))
     checked = checked.where(F.size("at") > 0)
     if thorough:
         checked = _judged(checked)
@@ -213,6 +234,11 @@ def leaks(
     )
 
 
+def _as_name(words: Column) -> Column:
+    """The words with a name for the first."""
+    return F.transform(words, lambda w, i: F.when(i == 0, F.lit(NAME)).otherwise(w))
+
+
 def _by_length(hashes: Column, lengths: list[int]) -> Column:
     """The windows of an item, whose length is one of these."""
     out = _windows(hashes, lengths[-1])

@@ -100,3 +100,14 @@ def test_a_run_of_words_is_a_leak_whatever_its_share(docs, items):
     questions = items((1, " ".join(words)))
     assert sorted(r.doc_id for r in D.leaks(docs(*rows), questions, thorough=True).collect()) == [1, 2]
     assert sorted(r.doc_id for r in D.clean(docs(*rows), questions, thorough=True).collect()) == [3, 4]
+
+
+def test_items_of_a_window_or_less(docs, items):
+    """The first word may follow any other, and a short item is its own words and no template."""
+    eight, six, measure = "What is the colour of the old house?", "Why does Anna run so far?", "12 km"
+    rows = [
+        (1, "so they ask What is the colour of the old house and go"), (2, f"so. {eight}"), (3, "they ask Why does Anna run so far"),
+        (4, "they ask why does Max run so far"), (5, "a walk of 30 miles"), (6, "a walk of 12 km or so"), (7, "She said Zoe is the colour of"),
+    ]
+    got = D.leaks(docs(*rows), items((1, eight), (2, six), (3, measure)), thorough=True).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 1), (3, 2), (6, 3)]
