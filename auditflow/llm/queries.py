@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from auditflow.llm import (
+    collocations,
+    conversations,
     decontaminate,
     language_id,
     licenses,
     line_dedup,
     mixing,
     order_minhash,
+    quality,
     simhash,
     substring_dedup,
     token_counts,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_benchmark_decontamination": decontaminate.op10_benchmark_decontamination,
+    "op11_quality_rules": quality.op11_quality_rules,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -35,4 +41,7 @@ ORACLE: dict[str, str] = {
     "op6_substring_dedup": substring_dedup.OP6_SQL,
     "op8_warc": warc.OP8_SQL,
     "op10_benchmark_decontamination": decontaminate.OP10_SQL,
+    "op11_quality_rules": quality.OP11_SQL,
+    "op12_conversation_repair": conversations.OP12_SQL,
+    "op13_phrase_collocations": collocations.OP13_SQL,
 }

@@ -25,3 +25,17 @@ def docs(spark):
 
 def rows_of(df, *columns):
     return Counter(tuple(r[c] for c in columns) for r in df.collect())
+
+
+def by_sql(sql, **tables):
+    """Rows of a query's SQL over small tables given as ``(column names and types, rows)``."""
+    import duckdb
+
+    con = duckdb.connect()
+    for name, (columns, rows) in tables.items():
+        con.execute(f"CREATE TABLE {name} ({columns})")
+        if rows:
+            con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(rows[0]))})", rows)
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    return names, Counter(cursor.fetchall())
