@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 from math import ceil
 
 import numpy as np
@@ -20,11 +21,13 @@ from auditflow.session import stage
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 UNKNOWN = "und"
 # Words of an index, and bytes of text whose phrases are summed in one block; neither has to hold.
-SHARD_WORDS = 1 << 20
-BLOCK_BYTES = 16 << 20
-# Rows that wait to be summed.
-PENDING = 2_000_000
-_PARTS = "block int, phrases binary, sizes binary, numbers binary"
+SHARD_WORDS = 1 << 19
+BLOCK_BYTES = 32 << 20
+# Blocks a shard is dealt to at once; beyond, blocks are dealt out a second time.
+FAN = 4096
+# Parts of a block that are summed one after another, and rows that wait to be summed.
+SLICES, PENDING = 4, 500_000
+_PARTS = "block long, phrases binary, sizes binary, numbers binary"
 _SUMS = "lang string, phrase string, a long, left long, right long"
 # What ends a piece, and the mark that stands for it, which is no word.
 ENDS, MARK = b".,;:!?\n\x0b\x0c\r", b"."
@@ -44,6 +47,7 @@ def shard_phrases(lang: bytes, words: list[bytes], longest: int) -> tuple[pa.Arr
     all words. ``numbers`` has three columns: occurrences, and those with a word before and after.
     """
     encoded = pa.array([MARK, *words], pa.binary()).dictionary_encode()
+    del words
     ids = encoded.indices.to_numpy()
     known = encoded.dictionary
     hashes = word_hashes(known.to_pylist())
@@ -69,25 +73,41 @@ def shard_phrases(lang: bytes, words: list[bytes], longest: int) -> tuple[pa.Arr
     return pa.concat_arrays(keys), np.concatenate(marks), np.concatenate(numbers)
 
 
-def _packed(keys: pa.Array, marks: np.ndarray, numbers: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
-    block = (marks % np.uint64(blocks)).astype(np.int32)
-    order = np.argsort(block, kind="stable")
-    keys, numbers, block = keys.take(pa.array(order)), numbers[order], block[order]
+def _packed(keys: pa.Array, marks: np.ndarray, numbers: np.ndarray, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row per block: its phrases, their lengths, and numbers after the sizes of its slices."""
+    place = block * SLICES + (marks >> np.uint64(48)).astype(np.int64) % SLICES
+    order = np.argsort(place, kind="stable")
+    keys, numbers, place = keys.take(pa.array(order)), numbers[order], place[order]
+    block = place // SLICES
     offsets = np.frombuffer(keys.buffers()[1], dtype="<i4")[keys.offset:keys.offset + len(keys) + 1]
     data = memoryview(keys.buffers()[2] or b"")
     starts = np.flatnonzero(np.append(True, np.diff(block) != 0)[:len(block)])
-    rows = []
+    rows, weight = [], 0
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["block", "phrases", "sizes", "numbers"]
     for a, b in zip(starts, np.append(starts[1:], len(block))):
         sizes = np.diff(offsets[a:b + 1]).astype("<i4")
-        rows.append((
-            block[a], _PACK.compress(data[offsets[a]:offsets[b]]), _PACK.compress(sizes.tobytes()),
-            _PACK.compress(np.ascontiguousarray(numbers[a:b].T, dtype="<i8").tobytes()),
-        ))
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    names = ["block", "phrases", "sizes", "numbers"]
-    for at in range(0, len(rows), 256):
-        columns = zip(*rows[at:at + 256])
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+        slices = np.bincount(place[a:b] % SLICES, minlength=SLICES)
+        told = np.concatenate([slices, numbers[a:b].T.ravel()]).astype("<i8")
+        rows.append((block[a], *map(_PACK.compress, (data[offsets[a]:offsets[b]], sizes.tobytes(), told.tobytes()))))
+        weight += len(rows[-1][1])
+        if weight >= 1 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+            rows, weight = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+def _unpacked(part: tuple[bytes, bytes, bytes], unpack: zstandard.ZstdDecompressor, number: int | None = None) -> pa.Table:
+    """The phrases of a row, or those of one slice of it."""
+    data, sizes, numbers = (unpack.decompress(p) for p in part)
+    sizes, numbers = np.frombuffer(sizes, "<i4"), np.frombuffer(numbers, "<i8")
+    offsets = np.append(0, np.cumsum(sizes)).astype("<i4")
+    key = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+    table = pa.table([key, *map(pa.array, numbers[SLICES:].reshape(3, len(sizes)))], names=["key", "a", "left", "right"])
+    if number is None:
+        return table
+    return table.slice(int(numbers[:number].sum()), int(numbers[number]))
 
 
 def _index(longest: int, blocks: int, shard_words: int):
@@ -96,9 +116,9 @@ def _index(longest: int, blocks: int, shard_words: int):
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, words in held.items():
-                yield from _packed(*shard_phrases(lang, words, longest), blocks)
-            held.clear()
+            for lang in list(held):
+                keys, marks, numbers = shard_phrases(lang, held.pop(lang), longest)
+                yield from _packed(keys, marks, numbers, (marks % np.uint64(blocks)).astype(np.int64))
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -118,8 +138,43 @@ def _sum(parts: list[pa.Table]) -> pa.Table:
     return summed.rename_columns(["key", "a", "left", "right"]).combine_chunks()
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
+def _dealt_again(blocks: int):
+    """Rows of blocks of blocks, summed as far as memory allows, as rows of ``blocks`` finer ones each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for block, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            parts: list[pa.Table] = []
+
+            def flush(parts=parts, block=block) -> Iterator[pa.RecordBatch]:
+                if parts:
+                    table = _sum(parts)
+                    parts.clear()
+                    key = table["key"].combine_chunks()
+                    marks = word_hashes(key.to_pylist())
+                    numbers = np.column_stack([table[c].to_numpy() for c in ("a", "left", "right")])
+                    yield from _packed(key, marks, numbers, block * blocks + (marks % np.uint64(blocks)).astype(np.int64))
+
+            held = 0
+            for _, *part in rows:
+                parts.append(_unpacked(part, unpack))
+                held += parts[-1].num_rows
+                if held >= PENDING:
+                    yield from flush()
+                    held = 0
+            yield from flush()
+
+    return run
+
+
 def _summed(least: int):
-    """Sums of each block from its parts, which come one after another."""
+    """Sums of each block from its rows, which come one after another."""
 
     def finished(table: pa.Table) -> Iterator[pa.RecordBatch]:
         ends = pc.equal(pc.binary_slice(table["key"], -1), pa.scalar(b"\n", pa.binary()))
@@ -134,31 +189,28 @@ def _summed(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        block, parts, rows, distinct = None, [], 0, 0
-        for batch in batches:
-            for number, *packed in zip(*(c.to_pylist() for c in batch.columns)):
-                if number != block:
-                    if parts:
-                        yield from finished(_sum(parts))
-                    block, parts, rows, distinct = number, [], 0, 0
-                data, sizes, numbers = (unpack.decompress(p) for p in packed)
-                offsets = np.append(0, np.cumsum(np.frombuffer(sizes, "<i4"))).astype("<i4")
-                n = len(offsets) - 1
-                key = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-                columns = np.frombuffer(numbers, "<i8").reshape(3, n)
-                parts.append(pa.table([key, *map(pa.array, columns)], names=["key", "a", "left", "right"]))
-                rows += n
-                if rows >= max(PENDING, 2 * distinct):
-                    parts = [_sum(parts)]
-                    rows = distinct = parts[0].num_rows
-        if parts:
-            yield from finished(_sum(parts))
+        for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            packed = [row[1:] for row in rows]
+            for number in range(SLICES):
+                parts, held, distinct = [], 0, 0
+                for part in packed:
+                    parts.append(_unpacked(part, unpack, number))
+                    held += parts[-1].num_rows
+                    if held >= max(PENDING, 2 * distinct):
+                        parts = [_sum(parts)]
+                        held = distinct = parts[0].num_rows
+                yield from finished(_sum(parts))
 
     return run
 
 
 def phrases(
-    docs: DataFrame, longest: int = LONGEST, least: int = LEAST, shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame,
+    longest: int = LONGEST,
+    least: int = LEAST,
+    shard_words: int = SHARD_WORDS,
+    block_bytes: int = BLOCK_BYTES,
+    fan: int = FAN,
 ) -> DataFrame:
     """``lang, phrase, a, left, right`` of every phrase of up to ``longest`` words that stands ``least`` times.
 
@@ -170,14 +222,18 @@ def phrases(
     and language and enumerates every n-gram in it. A phrase has one row per shard that holds it, and
     its hash names the block in which these are summed, so a phrase or language with most of the rows
     weighs no more than any other. Parts of a block travel packed; blocks are as many as the bytes of
-    text ask for, and a task sums one after another. Keys are the phrases themselves.
+    text ask for, and a task sums one after another, slice by slice. Beyond ``FAN`` blocks a shard would
+    be cut too finely, and phrases are dealt out twice. Keys are the phrases themselves.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).cast("binary")
     texts = docs.select(lang.alias("lang"), F.col("text").cast("binary").alias("text"))
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, ceil(total / block_bytes))
-    parts = texts.mapInArrow(_index(longest, blocks, shard_words), _PARTS).repartition(F.col("block"))
-    return parts.sortWithinPartitions("block").mapInArrow(_summed(least), _SUMS)
+    parts = texts.mapInArrow(_index(longest, min(blocks, fan), shard_words), _PARTS)
+    met = lambda parts: parts.repartition(F.col("block")).sortWithinPartitions("block")
+    if blocks > fan:
+        parts = met(parts).mapInArrow(_dealt_again(ceil(blocks / fan)), _PARTS)
+    return met(parts).mapInArrow(_summed(least), _SUMS)
 
 
 def score(a: Column, left: Column, right: Column) -> Column:

@@ -32,6 +32,7 @@ def test_same_as_sql_whatever_the_shards(spark, seed):
     assert expected
     assert rows_of(C.collocations(table(spark, rows)), *names) == expected
     assert rows_of(C.collocations(table(spark, rows), shard_words=50, block_bytes=400), *names) == expected
+    assert rows_of(C.collocations(table(spark, rows), shard_words=50, block_bytes=400, fan=3), *names) == expected
 
 
 def test_counts_of_every_phrase(spark):
