@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Rows of several kinds go to separate folders in one pass, without a sort by kind.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # Rows may be long texts, so batches handed to Python are bounded by their bytes, too.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Native-mode window state lives off-heap and is checkpointed as changes.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
