@@ -54,7 +54,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     a frequent n-gram weighs no more than a rare one, and the row has a fixed size.
     """
     known = stage(trusted.select(F.col("doc_id").alias("__id")).distinct(), "trusted").withColumn("__trusted", F.lit(1))
-    marked = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__id"), "left")
+    # Joined by doc_id at every size: labels grow with the documents, and a broadcast would end somewhere.
+    marked = docs.select("doc_id", "text").join(known.hint("merge"), F.col("doc_id") == F.col("__id"), "left")
     hashed = marked.select(F.coalesce("__trusted", F.lit(0)).alias("trusted"), F.transform(words_of(F.col("text")), F.crc32).alias("h"))
     grams = hashed.select("trusted", F.explode(buckets_of(F.col("h"))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
