@@ -22,7 +22,7 @@ LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 UNKNOWN = "und"
 # Words of an index, and bytes of text whose phrases are summed in one block; neither has to hold.
 SHARD_WORDS = 1 << 19
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 # Blocks a shard is dealt to at once; beyond, blocks are dealt out a second time.
 FAN = 4096
 # Parts of a block that are summed one after another, and rows that wait to be summed.
@@ -99,15 +99,16 @@ def _packed(keys: pa.Array, marks: np.ndarray, numbers: np.ndarray, block: np.nd
 
 
 def _unpacked(part: tuple[bytes, bytes, bytes], unpack: zstandard.ZstdDecompressor, number: int | None = None) -> pa.Table:
-    """The phrases of a row, or those of one slice of it."""
+    """The phrases of a row, or those of one slice of it, in memory of their own."""
     data, sizes, numbers = (unpack.decompress(p) for p in part)
     sizes, numbers = np.frombuffer(sizes, "<i4"), np.frombuffer(numbers, "<i8")
-    offsets = np.append(0, np.cumsum(sizes)).astype("<i4")
-    key = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-    table = pa.table([key, *map(pa.array, numbers[SLICES:].reshape(3, len(sizes)))], names=["key", "a", "left", "right"])
-    if number is None:
-        return table
-    return table.slice(int(numbers[:number].sum()), int(numbers[number]))
+    slices, columns = numbers[:SLICES], numbers[SLICES:].reshape(3, len(sizes))
+    a, b = (0, len(sizes)) if number is None else (int(slices[:number].sum()), int(slices[:number + 1].sum()))
+    offsets = np.append(0, np.cumsum(sizes))
+    own = data[offsets[a]:offsets[b]]
+    starts = (offsets[a:b + 1] - offsets[a]).astype("<i4").tobytes()
+    key = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(starts), pa.py_buffer(own)])
+    return pa.table([key, *(pa.array(c[a:b].copy()) for c in columns)], names=["key", "a", "left", "right"])
 
 
 def _index(longest: int, blocks: int, shard_words: int):
