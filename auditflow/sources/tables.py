@@ -232,9 +232,9 @@ def spring_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loose_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``value`` with times a lenient reader accepts: unpadded, rolled over, or with a tail."""
+    """``value`` with times a lenient reader accepts: unpadded, signed, long, rolled over, or with a tail."""
     located = _located(big_table(spark, sf_dir, "events"), spark, sf_dir)
-    form = F.col("event_id") % 5
+    form = F.col("event_id") % 8
 
     def part(name: str) -> Column:
         return F.expr(f"extract({name} from ts)").cast("int")
@@ -251,6 +251,9 @@ def loose_audit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(form == 1, F.concat(plain, F.lit("xyz")))
         .when(form == 2, joined(year, month, hour, minute))
         .when(form == 3, joined(year - 1, month + 12, hour, minute))
+        .when(form == 4, joined(year + 100_000, month - 1_200_000, hour, minute))
+        .when(form == 5, joined(year, month, hour + 1_000_000, minute - 60_000_000))
+        .when(form == 6, F.concat(F.lit("-"), joined(100_000 - year, month + 1_200_000, hour, minute)))
         .otherwise(joined(year, month, F.lit(0), hour * 60 + minute))
     )
     return located.select(_audit_json(time, F.col("event_type")).alias("value"))

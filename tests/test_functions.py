@@ -25,6 +25,20 @@ TIMES = [
     ("2018-13-45 25:61:61", None, 1_550_196_121_000),
     ("2018-00-01 00:00:00", None, 1_512_086_400_000),
     ("1970-01-01 00:00:00", 0, 0),
+    # Signed fields: month -1 is November of the year before, hour -1 the last of the day before.
+    ("2019--1-01 00:00:00", None, JAN_1_2018 + (365 - 61) * 86_400_000),
+    ("2018-01-01 -1:-60: -30", None, JAN_1_2018 - clock(2, 0, 30)),
+    ("-0001-01-01 00:00:00", -62_198_755_200_000, -62_198_755_200_000),
+    ("12018-01-01 00:00:00", None, JAN_1_2018 + 25 * 146_097 * 86_400_000),
+    # Fields of any length, also where one makes up for another.
+    ("2018-01-" + "0" * 60 + "1 00:00:00", None, JAN_1_2018),
+    ("0-24217-1 0:0:0", None, JAN_1_2018),
+    ("2018-01-01 -9999999999999999:599999999999999940:0", None, JAN_1_2018),
+    ("4018-01-01 00:00:00", JAN_1_2018 + 5 * 146_097 * 86_400_000, JAN_1_2018 + 5 * 146_097 * 86_400_000),
+    # More than a timestamp holds.
+    ("300000-01-01 00:00:00", None, None),
+    ("-300000-01-01 00:00:00", None, None),
+    ("2018-01-01 00:00:" + "9" * 30, None, None),
     ("2018-01-01T11:11:11", None, None),
     ("2018-01-01", None, None),
     ("bad", None, None),
@@ -45,6 +59,12 @@ def test_time_formatting(spark):
     assert df.select(format_time(F.col("ms"))).first()[0] == "2018-01-01 00:01:01"
 
 
+def test_years_of_more_digits_are_written_without_a_sign(spark):
+    df = spark.createDataFrame([(JAN_1_2018 + 25 * 146_097 * 86_400_000,)], "ms bigint")
+    assert df.select(format_time(F.col("ms"))).first()[0] == "12018-01-01 00:00:00"
+    assert df.select(format_time(F.col("ms"), "UTC")).first()[0] == "12018-01-01 00:00:00"
+
+
 @pytest.mark.parametrize(
     "codes, expected",
     [
