@@ -12,44 +12,85 @@ LENIENT_JSON = {
 }
 
 
-# Numbers that no decimal or double holds as they are written: more than 38 digits, an exponent of
-# three digits or more, or one after more digits than a double has.
-_HUGE = r"[0-9](?:\.?[0-9]){38,}|[0-9](?:\.?[0-9]){16,}[eE]|[0-9][eE][+-]?[0-9]{3,}"
-
-_STRING = r'"(?:[^"\\]|\\.)*"'
+# Stands before numbers and nulls that are carried as strings; a private-use character.
+_MARK = "\ue000"
+
+# A JSON text in pieces: strings, names without quotes, and what stands between values.
+_NULL = r"null(?![\w$])"
+_STRING = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
+_OTHER = (
+    r"(?:[^\"'\w$+\-]++|" + _STRING + r"|'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'"
+    rf"|(?!{_NULL})[A-Za-z_$][\w$]*+|[+\-](?![0-9]))*+"
+)
+_NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+(?![\w.+-])"
+# Each match goes on where the last one ended, so no string is ever entered.
+_LITERAL = rf"\G({_OTHER})({_NUMBER}|{_NULL})"
+# Texts in which a number might be written anew, or a member be null.
+_AT_RISK = r"null|[0-9][.eE]|[0-9]{18}|-0"
 
 
 def one_object(text: Column, fields: str) -> Column:
     """The object a text consists of, read by a schema; null unless the text is exactly one object.
 
-    A parser stops after the first value. Inside brackets all of the text is one array, so more than
-    one object, an array, a bare value and text after the object are told apart.
+    A parser stops after the first value. Here the text is the first element of an array whose second
+    one names the text's hash, so the parser has to come to the end of the text at the same depth:
+    more than one object, an array, a bare value and whatever stands after the object are told apart.
     """
-    found = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{fields}>>", LENIENT_JSON)
+    mark = F.xxhash64(text).cast("string")
+    whole = F.concat(F.lit("["), text, F.lit(',{"' + _MARK + '":"'), mark, F.lit('"}]'))
+    found = F.from_json(whole, f"array<struct<{fields}, `{_MARK}` string>>", LENIENT_JSON)
     # Through a variable, so that the text is parsed once.
-    return F.get(F.transform(F.array(found), lambda all_: F.when(F.size(all_) == 1, F.get(all_, 0))), 0)
+    ends = lambda all_: (F.size(all_) == 2) & (F.get(all_, 1)[_MARK] == F.get(F.array(mark), 0))
+    first = lambda all_: F.get(all_, 0).dropFields(f"`{_MARK}`")
+    return F.get(F.transform(F.array(found), lambda all_: F.when(ends(all_), first(all_))), 0)
+
+
+def with_literals_as_text(text: Column) -> Column:
+    """JSON text whose numbers and nulls are strings that begin with a mark.
+
+    A parser keeps strings as they are, so every number comes out as it was written, whatever its
+    digits and exponent, and null members can be told from all other text. Strings that begin with
+    the mark themselves get another one. Texts without fractions, exponents, long numbers and nulls
+    stay as they are. What is no valid number is left for the parser to refuse.
+    """
+    begins = f"([\"'])(?={_MARK}|\\\\u[eE]000)"
+    marked = F.when(text.rlike(begins), F.regexp_replace(text, begins, f"$1{_MARK}")).otherwise(text)
+    return F.when(text.rlike(_AT_RISK), F.regexp_replace(marked, _LITERAL, f'$1"{_MARK}$2"')).otherwise(marked)
+
+
+def as_written(text: Column) -> Column:
+    """JSON text without blanks made from ``with_literals_as_text``: numbers and nulls as they were."""
+    plain = F.regexp_replace(text, f'(?<![^\\[,:])"{_MARK}([^"{_MARK}]*+)"', "$1")
+    return F.when(text.contains(_MARK), _unmarked(plain)).otherwise(text)
+
+
+def _unmarked(text: Column) -> Column:
+    return F.regexp_replace(text, f"([\"']){_MARK}{_MARK}", f"$1{_MARK}")
 
 
-def may_lose_digits(text: Column, items: Column) -> Column:
-    """Whether variants read from the text may hold a number that is not as it was written."""
-    return text.rlike(_HUGE) & F.exists(items, lambda item: F.schema_of_variant(item).contains("DOUBLE"))
+def scalar_as_written(text: Column) -> Column:
+    """The text of a member read as a string from ``with_literals_as_text``; null for null."""
+    own = F.substring(text, F.lit(2), F.length(text) - 1)
+    scalar = F.when(own != "null", own)
+    return F.when(F.startswith(text, F.lit(_MARK)), scalar).otherwise(as_written(text))
 
 
 def without_null_members(text: Column) -> Column:
-    """JSON text without blanks, less the members that are null, at every depth.
+    """JSON text made from ``with_literals_as_text``, less the members that are null, at every depth.
 
-    Array elements stay. A text with a string that begins with ``:null`` is left as it is, since its
-    quotes cannot be told from those around a name.
+    Array elements stay. A null is a string no other text can be, and no unescaped quote but that of
+    its name stands before it.
     """
-    followed = F.regexp_replace(text, f",{_STRING}:null(?=[,}}])", "")
-    plain = F.regexp_replace(followed, r"\{" + f"{_STRING}:null,?", "{")
-    return F.when(text.contains('":null') & ~text.rlike(r'[\[,:{]":null'), plain).otherwise(text)
+    null = f'{_STRING}:"{_MARK}null"'
+    followed = F.regexp_replace(text, f",{null}", "")
+    plain = F.regexp_replace(followed, r"\{" + f"{null},?", "{")
+    return F.when(text.contains(f':"{_MARK}null"'), plain).otherwise(text)
 
 
 def without_keys(item: Column, *keys: str) -> Column:
     """A variant object as a map without the given keys and without null values.
 
-    Null if the variant is no object. The values stay variants, so numbers keep their digits.
+    Null if the variant is no object.
     """
     members = item.try_cast("map<string,variant>")
     return F.map_filter(members, lambda k, v: ~k.isin(*keys) & ~F.is_variant_null(v))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
 from auditflow.functions.json import (
-    may_lose_digits,
+    as_written,
     merge_objects,
     one_object,
+    scalar_as_written,
+    with_literals_as_text,
     without_keys,
     without_null_members,
 )
@@ -18,25 +20,29 @@ from auditflow.functions.json import (
 def parse_messages(df: DataFrame, item_type: str | None = None) -> DataFrame:
     """Parse ``value`` into ``dt``, ``countryCode`` and ``items``; other columns are kept.
 
-    Items are variants: objects with any keys. With a declared ``item_type`` (a struct) only its keys
-    are read, which is faster.
+    Items are variants: objects with any keys, their numbers and nulls as marked strings (see
+    ``with_literals_as_text``), which ``cleaned_records`` writes as they were. With a declared
+    ``item_type`` (a struct) only its keys are read, which is faster.
 
-    ``problem`` is null for a usable message, else ``malformed`` (not exactly one JSON object),
-    ``no_data`` (missing, or no array) or, without a declared type, ``bad_number``: a number that
-    neither 38 digits nor a double hold as it is written. The raw text is kept only for messages with
-    a problem, so exploding does not copy it.
+    ``problem`` is null for a usable message, else ``malformed`` (not exactly one JSON object) or
+    ``no_data`` (missing, or no array). The raw text is kept only for messages with a problem, so
+    exploding does not copy it.
     """
     keep = [c for c in df.columns if c != "value"]
     schema = f"dt string, countryCode string, data array<{item_type or 'variant'}>"
-    parsed = with_once(df, "_m", one_object(F.col("value"), schema))
+    as_text = lambda name: F.col(f"_m.{name}")
+    if item_type:
+        parsed = with_once(df, "_m", one_object(F.col("value"), schema))
+    else:
+        as_text = lambda name: scalar_as_written(F.col(f"_m.{name}"))
+        marked = with_once(df, "_text", with_literals_as_text(F.col("value")))
+        parsed = with_once(marked, "_m", one_object(F.col("_text"), schema))
     problem = F.when(F.col("_m").isNull(), "malformed").when(F.col("_m.data").isNull(), "no_data")
-    if not item_type:
-        problem = problem.when(may_lose_digits(F.col("value"), F.col("_m.data")), "bad_number")
     checked = parsed.withColumn("problem", problem)
     usable = F.col("problem").isNull()
     return checked.select(
-        *keep, "_m.dt", "_m.countryCode", F.when(usable, F.col("_m.data")).alias("items"),
-        "problem", F.when(~usable, F.col("value")).alias("raw"),
+        *keep, as_text("dt").alias("dt"), as_text("countryCode").alias("countryCode"),
+        F.when(usable, F.col("_m.data")).alias("items"), "problem", F.when(~usable, F.col("value")).alias("raw"),
     )
 
 
@@ -85,16 +91,22 @@ def cleaned_records(
         no_object = item.isNull()
         text = F.to_json(item.withField("area", area).withField("dt", dt))
     else:
-        rows = with_once(rows, "_own", F.to_json(without_keys(item, "area", "dt")))
+        rows = with_once(rows, "_marked", F.to_json(without_keys(item, "area", "dt")))
+        rows = with_once(rows, "_kept", without_null_members(F.col("_marked")))
+        rows = with_once(rows, "_own", as_written(F.col("_kept")))
         no_object = F.col("_own").isNull()
-        text = merge_objects(F.to_json(F.struct(area, dt)), without_null_members(F.col("_own")))
+        text = merge_objects(F.to_json(F.struct(area, dt)), F.col("_own"))
     read = F.when(no_object, "bad_item").otherwise("clean")
     return rows.select(
         F.coalesce("problem", read).alias("kind"),
-        F.coalesce(text, "raw", F.to_json(item), F.lit("null")).alias("value"),
+        F.coalesce(text, "raw", _bad_item(item, item_type), F.lit("null")).alias("value"),
     )
 
 
+def _bad_item(item: Column, item_type: str | None) -> Column:
+    return F.to_json(item) if item_type else as_written(F.to_json(item))
+
+
 def rejected_records(df: DataFrame, item_type: str | None = None) -> DataFrame:
     """The rows of ``cleaned_records`` that are not clean, without writing those that are."""
     rows = explode_items(parse_messages(df, item_type))
@@ -103,5 +115,5 @@ def rejected_records(df: DataFrame, item_type: str | None = None) -> DataFrame:
     bad = rows.where(F.col("problem").isNotNull() | ~is_object)
     return bad.select(
         F.coalesce("problem", F.lit("bad_item")).alias("kind"),
-        F.coalesce("raw", F.to_json(item) if not item_type else F.lit(None), F.lit("null")).alias("value"),
+        F.coalesce("raw", F.lit(None) if item_type else _bad_item(item, item_type), F.lit("null")).alias("value"),
     )

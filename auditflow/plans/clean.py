@@ -88,10 +88,15 @@ def clean_json_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = invert_areas(tables.areas(spark, sf_dir))
     records = cleaned_records(tables.messages(spark, sf_dir, extra_keys=True), codes)
-    return read_records(records.where("kind = 'clean'"), RECORD_WITH_LINE).select(
-        "type", "score", "level", "area", "dt",
-        F.col("line.order").alias("line_order"),
-        F.col("line.price").cast("string").alias("line_price"),
+    clean = records.where("kind = 'clean'")
+    # The number's text, before any reader makes something of it.
+    long = F.regexp_extract("value", '"long":([^,}]*)', 1).alias("line_long")
+    read = clean.select(long, F.from_json("value", RECORD_WITH_LINE).alias("r"), F.contains("value", F.lit("null")).alias("nulls"))
+    return read.select(
+        "r.type", "r.score", "r.level", "r.area", "r.dt",
+        F.col("r.line.order").alias("line_order"),
+        F.col("r.line.price").cast("string").alias("line_price"),
+        "line_long", "nulls",
     )
 
 
@@ -119,7 +124,7 @@ msg AS (
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS dt,
          CASE WHEN l_linenumber % 2 = 1 THEN n_name ELSE 'C' || n_nationkey END AS code,
          CASE l_partkey % 200 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no_data'
-                              WHEN 2 THEN 'bad_item' END AS problem
+                              WHEN 2 THEN 'bad_item' WHEN 3 THEN 'malformed' END AS problem
   FROM lineitem l LEFT JOIN ({_NATION}) ON l_suppkey % 25 = n_nationkey
 ),
 item AS (
@@ -179,10 +184,10 @@ FROM msg WHERE problem IS NULL""",
     "clean_quarantine": f"""
 WITH {MESSAGES_SQL}
 SELECT problem AS reason,
-       CASE problem WHEN 'malformed' THEN '{{"dt":"' || dt || '","countryCode'
-                    WHEN 'no_data' THEN '{{"dt":"' || dt || '","countryCode":"' || code || '"}}'
-                    ELSE '1' END AS value
-FROM msg WHERE problem IS NOT NULL""",
+       CASE l_partkey % 200 WHEN 0 THEN '{{"dt":"' || dt || '","countryCode'
+                            WHEN 1 THEN header WHEN 2 THEN '1' ELSE header || '],[' || header END AS value
+FROM (SELECT *, '{{"dt":"' || dt || '","countryCode":"' || code || '"}}' AS header FROM msg)
+WHERE problem IS NOT NULL""",
     "clean_explode": f"""
 WITH {MESSAGES_SQL} SELECT dt, code AS "countryCode", type, score, level FROM item""",
     "clean_enrich_left": _RECORDS,
@@ -192,6 +197,7 @@ WITH {MESSAGES_SQL} SELECT type, score, level, r_name AS area, dt FROM item""",
     "clean_passthrough": f"""
 WITH {MESSAGES_SQL}
 SELECT type, score, level, {_LISTED_AREA}, dt, l_orderkey AS line_order,
-       CAST(CAST(l_extendedprice AS DECIMAL(20,4)) AS VARCHAR) AS line_price
+       CAST(CAST(l_extendedprice AS DECIMAL(20,4)) AS VARCHAR) AS line_price,
+       '1' || l_orderkey || '{tables.LONG_TAIL}' AS line_long, false AS nulls
 FROM item""",
 }

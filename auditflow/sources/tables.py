@@ -100,6 +100,9 @@ def _items(extra_keys: bool) -> Column:
     return F.when(F.col("l_quantity") < 50, both).otherwise(F.slice(both, 1, 0))
 
 
+# What follows the order number in a number of 60 digits and more.
+LONG_TAIL = "7" * 59 + ".10"
+
 # Setting that deals the large tables out over so many tasks, for tables of one or a few files.
 PIECES = "spark.auditflow.pieces"
 
@@ -113,7 +116,7 @@ def messages(spark: SparkSession, sf_dir: str, extra_keys: bool = False) -> Data
     """``(batch_id, value)``: one message per order line; the batch is the month it was shipped.
 
     The country is that of the supplier number, by name or short code. Some part numbers give
-    unusable messages: cut short, without ``data``, or with an item that is no object.
+    unusable messages: cut short, without ``data``, with an item that is no object, or two objects.
     """
     return messages_from(big_table(spark, sf_dir, "lineitem"), spark, sf_dir, extra_keys)
 
@@ -140,11 +143,16 @@ def messages_from(
         .alias("countryCode"),
     ]
     whole = F.to_json(F.struct(*header, _items(extra_keys).alias("data")))
+    if extra_keys:
+        # A number and a null that no column type writes.
+        members = F.concat(F.lit('"line":{"long":1'), F.col("l_orderkey").cast("string"), F.lit(f'{LONG_TAIL},"none":null,'))
+        whole = F.replace(whole, F.lit('"line":{'), members)
     fault = F.col("l_partkey") % 200
     value = (
         F.when(fault == 0, F.substring(whole, 1, 40))
         .when(fault == 1, F.to_json(F.struct(*header)))
         .when(fault == 2, F.to_json(F.struct(*header, F.array(F.lit(1)).alias("data"))))
+        .when(fault == 3, F.concat(F.to_json(F.struct(*header)), F.lit("],["), F.to_json(F.struct(*header))))
         .otherwise(whole)
     )
     return located.select(_month(), value.alias("value"))

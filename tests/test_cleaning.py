@@ -112,6 +112,11 @@ def test_empty_data_gives_nothing(values, codes, item_type):
         ("malformed", '{"dt":"t","data":[]}{"dt":"u","data":[]}'),
         ("malformed", '{"dt":"t","data":[]},{"dt":"u","data":[]}'),
         ("malformed", '{"dt":"t","data":[]} garbage'),
+        ("malformed", '{"dt":"t","data":[{"type":"pear"}]}],[{"dt":"u","data":[]}'),
+        ("malformed", '{"dt":"t","data":[]}]'),
+        ("malformed", '{"dt":"t","data":[]}] , {}'),
+        ("malformed", '{"dt":"t","data":[]}},{"x":[{}'),
+        ("malformed", '{"dt":"t","data":[]},'),
         ("no_data", '{"dt":"t","data":"none"}'),
         ("malformed", '{"dt":"t","data":[{"type":"pear"}]'),
         ("no_data", '{"dt":"t"}'),
@@ -146,19 +151,59 @@ def test_other_columns_are_kept(spark, codes):
     ]
 
 
-@pytest.mark.parametrize(
-    "number", ["1234567890123456789012345678901234567890.5", "9" * 42, "1e400", "1.23456789012345678901e2"]
-)
-def test_numbers_that_would_change_are_set_aside(values, codes, number):
-    text = f'{{"dt":"t","data":[{{"n":{number}}}]}}'
-    assert run(values(text), codes) == [("bad_number", text)]
+NUMBERS = [
+    "1234567890123456789012345678901234567890.5", "9" * 60, "1e400", "-1.5E-4000", "1.23456789012345678901e2", "1.10", "1e5",
+    "-0", "-0.0", "0", "7", "12345678901234567890.123456789012345678", "1234567890123456789",
+]
+
+
+@pytest.mark.parametrize("number", NUMBERS)
+def test_numbers_are_kept_as_written(values, codes, number):
+    text = f'{{"dt":"t","data":[{{"n":{number},"o":{{"l":[{number}, {number}]}}}}]}}'
+    assert run(values(text), codes) == [("clean", f'{{"dt":"t","n":{number},"o":{{"l":[{number},{number}]}}}}')]
     quoted = f'{{"dt":"t","data":[{{"n":"{number}"}}]}}'
     assert records(values(quoted), codes) == [{"n": number, "dt": "t"}]
 
 
-def test_numbers_of_38_digits_are_kept(values, codes):
-    number = "12345678901234567890.123456789012345678"
-    assert records(values(f'{{"dt":"t","data":[{{"n":{number}}}]}}'), codes)[0]["n"] == Decimal(number)
+def test_numbers_outside_items_are_kept_too(values, codes):
+    assert records(values('{"dt":1.50,"countryCode":1e400,"data":[{"a":1}]}'), codes) == [{"a": 1, "dt": "1.50"}]
+    assert run(values('{"dt":{"a":1.50,"b":null},"data":[{"a":1},1.50]}'), codes) == [
+        ("bad_item", "1.50"), ("clean", '{"dt":"{\\"a\\":1.50,\\"b\\":null}","a":1}')
+    ]
+    assert records(values('{"dt":null,"countryCode":null,"data":[{"a":1.0}]}'), codes) == [{"a": Decimal("1.0")}]
+
+
+@pytest.mark.parametrize("number", ["01", "1.", ".5", "+1", "1e", "--1", "1.2.3", "0x1", "1_0"])
+def test_what_is_no_number_is_malformed(values, codes, number):
+    text = f'{{"dt":"t","data":[{{"n":{number},"m":1.5}}]}}'
+    assert run(values(text), codes) == [("malformed", text)]
+
+
+MARK = "\ue000"
+
+
+@pytest.mark.parametrize("string", [MARK, MARK * 2, f"{MARK}null", f"{MARK}1.5", f"{MARK * 3}1.5", f'x"{MARK}1.5"', f"'{MARK}null"])
+def test_strings_that_look_like_marked_literals_stay(values, codes, string):
+    item = {"a": string, string: "b", "c": [string, None, 1.5], "d": {"e": string, "f": None}}
+    left = {"a": string, string: "b", "c": [string, None, Decimal("1.5")], "d": {"e": string}, "dt": "t"}
+    for ascii_ in (True, False):
+        text = json.dumps({"dt": "t", "data": [item]}, ensure_ascii=ascii_)
+        assert records(values(text), codes) == [left]
+        upper = text.replace("\\ue000", "\\uE000")
+        assert records(values(upper), codes) == [left]
+
+
+def test_loose_json_with_fractions_is_read(values, codes):
+    text = "{'dt':'it\\'s 1.5',data:[{a1:1.50, $b:null, null_:2.0, 'c\"d':'\"1.5'}]}"
+    assert records(values(text), codes) == [
+        {"a1": Decimal("1.50"), "null_": Decimal("2.0"), 'c"d': '"1.5', "dt": "it's 1.5"}
+    ]
+
+
+def test_long_texts_with_many_literals(values, codes):
+    item = {"s": 'x\\"' * 20_000, "l": [1.5, None] * 20_000, "o": {f"k{i}": None for i in range(2_000)}}
+    got = records(values(json.dumps({"data": [item]})), codes)
+    assert got == [{"s": item["s"], "l": [Decimal("1.5"), None] * 20_000, "o": {}}]
 
 
 @pytest.mark.parametrize("item_type", [None, "struct<o struct<x int, y int, z struct<k int>>, l array<int>>"])
@@ -170,14 +215,14 @@ def test_null_members_are_left_out_at_every_depth(values, codes, item_type):
 
 @pytest.mark.parametrize(
     "item",
-    ['{"a":"x,\\"k\\":null}"}', '{"a":"b,","c":":null,"}', '{"a":{"b":"{","c":{"d":2}}}', '{"a":[",",":null,"],"b":"n"}'],
+    ['{"a":":null,","b":":null}","c":"null"}', '{"a,":"b\\\\","c":",\\"k\\":null"}', '{"a":"x,\\"k\\":null}"}', '{"a":"b,","c":":null,"}', '{"a":{"b":"{","c":{"d":2}}}', '{"a":[",",":null,"],"b":"n"}'],
 )
 def test_text_that_looks_like_a_null_member_stays(values, codes, item):
     assert records(values(f'{{"dt":"t","data":[{item}]}}'), codes) == [{**json.loads(item), "dt": "t"}]
 
 
 def test_rejected_records_are_those_that_are_not_clean(values, codes):
-    texts = [GOOD, "{bad", '{"dt":"t"}', '{"dt":"t","data":[1,null,{"a":1}]}', '{"dt":"t","data":[{"a":1e400}]}', None]
+    texts = [GOOD, "{bad", '{"dt":"t"}', '{"dt":"t","data":[1,null,{"a":1}]}', '{"dt":"t","data":[{"a":1e400},1e400]}', '{"data":[]}],[{}', None]
     for item_type in (None, SCORED):
         every = cleaned_records(values(*texts), codes, item_type=item_type).where("kind <> 'clean'")
         found = rejected_records(values(*texts), item_type)
