@@ -6,28 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_max(df: DataFrame, order: str, value: str, width: int) -> DataFrame:
+def running_max(df: DataFrame, order: str, value: str, width: int, *by: str) -> DataFrame:
     """Add ``max_upto`` and ``max_before``: the maximum of ``value`` up to / before each row.
 
-    ``order`` must be unique. The line of order values is cut into buckets of ``width``; each
-    bucket is scanned on its own, and only the bucket maxima (one row per bucket) are scanned
-    together, so the unpartitioned window sees ``range / width`` rows. ``df`` is read twice and
-    should be a stored table or cheap to derive from one.
+    ``order`` must be unique, or unique for each ``by``, which may not be null; then each has a
+    maximum of its own. The line of order values is cut into buckets of ``width``; each bucket is
+    scanned on its own, and only the bucket maxima (one row per bucket) are scanned together, so the
+    widest window sees ``range / width`` rows. ``df`` is read twice and should be a stored table or
+    cheap to derive from one.
     """
     bucketed = df.withColumn("_bucket", F.col(order) - F.pmod(F.col(order), F.lit(width)))
-    inside = Window.partitionBy("_bucket").orderBy(order)
-    heads = bucketed.groupBy("_bucket").agg(F.max(value).alias("_head"))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(order)
+    heads = bucketed.groupBy(*by, "_bucket").agg(F.max(value).alias("_head"))
+    across = Window.partitionBy(*by).orderBy("_bucket") if by else Window.orderBy("_bucket")
     carried = heads.select(
-        "_bucket",
-        F.max("_head")
-        .over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_carried"),
+        *by, "_bucket", F.max("_head").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried")
     )
     own_upto = F.max(value).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     own_before = F.max(value).over(inside.rowsBetween(Window.unboundedPreceding, -1))
     return (
         bucketed.withColumns({"_upto": own_upto, "_before": own_before})
-        .join(carried, "_bucket")
+        .join(carried, [*by, "_bucket"])
         .select(
             *df.columns,
             F.greatest("_upto", "_carried").alias("max_upto"),

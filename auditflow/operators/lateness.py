@@ -37,6 +37,62 @@ def batch_watermark(latest: DataFrame, rules: ReportRules) -> DataFrame:
     )
 
 
+def partition_watermark(
+    latest: DataFrame, rules: ReportRules, partitions: int, idle_batches: int | None = None
+) -> DataFrame:
+    """``(batch_id, wm_before, wm_after)`` where each source partition has a watermark of its own.
+
+    ``latest(batch_id, partition, max_ms)`` may have any number of rows per batch and partition;
+    partitions are numbered from 0 to ``partitions - 1``, and rows of others or of none are not
+    counted. Each keeps the latest time it has brought, the epoch until it brings any, and the
+    slowest one holds the watermark: rows of one partition are not late because another is ahead.
+
+    Without ``idle_batches`` a partition that brings nothing holds it for ever. With it, one that has
+    brought no rows in that many batches of the input, the present one included, is left out until it
+    brings some again; if all are left out the watermark stays. It never goes back, so what a partition
+    brings after a rest may be late. ``wm_before`` is null at first.
+
+    The table worked on has a row per batch and partition, not per row or pane.
+    """
+    known = latest.where(F.col("partition").between(0, partitions - 1))
+    per_batch = known.groupBy("batch_id", "partition").agg(F.max("max_ms").alias("_max"))
+    # Batches in the order of the input, so that numbers left out are no rest.
+    batches = latest.select("batch_id").distinct()
+    every = batches.select("batch_id", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))).alias("partition"))
+    told = every.join(per_batch, ["batch_id", "partition"], "left")
+    seen = running_max(told, "batch_id", "_max", BATCHES_PER_BUCKET, "partition")
+    reached = F.greatest("max_upto", F.lit(0)) - F.lit(rules.delay_ms)
+    if idle_batches is not None:
+        numbered = _numbered(batches)
+        seen = seen.join(numbered, "batch_id").withColumn("_active", F.when(F.col("_max").isNotNull(), F.col("number")))
+        seen = seen.withColumnRenamed("max_upto", "_reached").drop("max_before")
+        seen = running_max(seen, "batch_id", "_active", BATCHES_PER_BUCKET, "partition")
+        resting = (F.col("number") - F.coalesce("max_upto", F.lit(-1)) >= idle_batches)
+        reached = F.when(~resting, F.greatest("_reached", F.lit(0)) - F.lit(rules.delay_ms))
+    slowest = seen.groupBy("batch_id").agg(F.min(reached).alias("_slowest"))
+    # Where all rest it stays, which at first is the delay before the epoch.
+    start = F.lit(-rules.delay_ms).cast("long")
+    marks = running_max(
+        slowest.withColumn("_slowest", F.coalesce("_slowest", start)), "batch_id", "_slowest", BATCHES_PER_BUCKET
+    )
+    return marks.select("batch_id", F.col("max_before").alias("wm_before"), F.col("max_upto").alias("wm_after"))
+
+
+def _numbered(batches: DataFrame) -> DataFrame:
+    """``batch_id, number``: the place of each batch among all of them, from 0.
+
+    Counted within buckets of batches; only the buckets' sizes are summed in one line.
+    """
+    bucketed = batches.withColumn("_bucket", F.col("batch_id") - F.pmod(F.col("batch_id"), F.lit(BATCHES_PER_BUCKET)))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
+    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("batch_id"))
+    return bucketed.withColumn("_place", place).join(starts, "_bucket").select(
+        "batch_id", (F.col("_start") + F.col("_place") - 1).alias("number")
+    )
+
+
 def is_too_late(start: Column, wm_before: Column, rules: ReportRules) -> Column:
     """The window, lateness included, ended before the batch began; never true at first."""
     expires = window_last(start, rules) + F.lit(rules.lateness_ms)

@@ -110,6 +110,35 @@ def batch_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lateness.batch_watermark(stage(latest, "latest"), RULES)
 
 
+# Batches without rows after which a source partition no longer holds the watermark.
+IDLE_BATCHES = 3
+
+
+def _partition_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = tables.big_table(spark, sf_dir, "events").withColumn("partition", tables.source_partition())
+    messages = tables.audit_events_from(events, spark, sf_dir, tables.arrival_ms(), BATCH_MS, "partition")
+    rows = usable(parse_audit(messages, RULES))
+    return stage(rows.groupBy("batch_id", "partition").agg(F.max("event_ms").alias("max_ms")), "latest")
+
+
+def partition_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch the watermark that the slowest source partition holds."""
+    return lateness.partition_watermark(_partition_latest(spark, sf_dir), RULES, tables.PARTITIONS)
+
+
+def partition_watermark_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where partitions at rest are left out."""
+    return lateness.partition_watermark(_partition_latest(spark, sf_dir), RULES, tables.PARTITIONS, IDLE_BATCHES)
+
+
+def report_partition_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every emission under the watermark of the slowest partition that is not at rest."""
+    panes = stage(count_panes(_rows(spark, sf_dir), RULES, "batch_id"), "panes")
+    marks = stage(partition_watermark_idle(spark, sf_dir), "marks")
+    on_time, _ = lateness.split_late(panes, marks, RULES)
+    return _shown(lateness.changelog(on_time, stage(lateness.fire_batches(panes, marks, RULES), "fires")))
+
+
 def report_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = stage(_Replay.of(spark, sf_dir).late, "late")
     rows = _rows(spark, sf_dir).withColumn(
@@ -142,7 +171,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         report_parse, report_parse_lenient, report_zone, report_bad_time, report_quarantine,
-        report_window_count, report_window_max, batch_watermark, report_late_rows,
+        report_window_count, report_window_max, batch_watermark, partition_watermark,
+        partition_watermark_idle, report_partition_changelog, report_late_rows,
         report_window_final, report_changelog, report_first_fire, report_upsert, report_doc,
     )
 }
@@ -175,17 +205,54 @@ audit AS (
 )"""
 
 
-def lateness_sql(batch: str = f"({arrival_sql()}) // {BATCH_MS}", rules: ReportRules = RULES) -> str:
-    """Rows marked late or not, and every emission, straight from the single events."""
-    last = f"ws + {rules.window_ms} - 1"
-    return audit_sql(batch, rules) + f""",
+def _mark_sql(rules: ReportRules) -> str:
+    return f"""
 mark AS (
   SELECT batch_id,
          max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
            - {rules.delay_ms} AS wm_before,
          max(mx) OVER (ORDER BY batch_id) - {rules.delay_ms} AS wm_after
   FROM (SELECT batch_id, max(ms) AS mx FROM audit WHERE status = 'ok' GROUP BY batch_id)
+)"""
+
+
+def partition_mark_sql(idle_batches: int | None = None, rules: ReportRules = RULES) -> str:
+    """``mark`` by partition, each batch looking back over all single events before it."""
+    kept = "" if idle_batches is None else f"WHERE number - last < {idle_batches}"
+    return f"""
+sent AS (
+  SELECT batch_id, ms, CASE WHEN user_id % {tables.PARTITIONS} = {tables.PARTITIONS - 1}
+    AND epoch_ms(ts) // {3_600_000 * tables.REST_HOURS} % 2 = 1 THEN 0 ELSE user_id % {tables.PARTITIONS} END AS part
+  FROM audit JOIN (SELECT event_id, ts FROM events) USING (event_id) WHERE status = 'ok'
+),
+line AS (SELECT batch_id, row_number() OVER (ORDER BY batch_id) - 1 AS number FROM (SELECT DISTINCT batch_id FROM sent)),
+state AS (
+  SELECT l.batch_id, l.number, p.part, coalesce(max(greatest(s.mx, 0)), 0) AS seen, coalesce(max(s.number), -1) AS last
+  FROM line l CROSS JOIN (SELECT unnest(range({tables.PARTITIONS})) AS part) p
+  LEFT JOIN (SELECT part, number, max(ms) AS mx FROM sent JOIN line USING (batch_id) GROUP BY part, number) s
+    ON s.part = p.part AND s.number <= l.number
+  GROUP BY l.batch_id, l.number, p.part
 ),
+slowest AS (
+  SELECT l.batch_id, coalesce(min(seen), 0) AS seen
+  FROM line l LEFT JOIN (SELECT * FROM state {kept}) s USING (batch_id) GROUP BY l.batch_id
+),
+mark AS (
+  SELECT batch_id,
+         max(seen) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+           - {rules.delay_ms} AS wm_before,
+         max(seen) OVER (ORDER BY batch_id) - {rules.delay_ms} AS wm_after
+  FROM slowest
+)"""
+
+
+def lateness_sql(
+    batch: str = f"({arrival_sql()}) // {BATCH_MS}", rules: ReportRules = RULES, mark: str | None = None
+) -> str:
+    """Rows marked late or not, and every emission, straight from the single events."""
+    last = f"ws + {rules.window_ms} - 1"
+    return audit_sql(batch, rules) + f""",
+{mark or _mark_sql(rules)},
 judged AS (
   SELECT audit.*, coalesce({last} + {rules.lateness_ms} <= wm_before, false) AS late
   FROM audit JOIN mark USING (batch_id) WHERE status = 'ok'
@@ -248,6 +315,13 @@ SELECT window_start_ms, type, area, {_TIME} FROM (
   GROUP BY ws, type, area)""",
     "batch_watermark": f"""
 WITH {lateness_sql()} SELECT batch_id, wm_before, wm_after FROM mark""",
+    "partition_watermark": f"""
+WITH {audit_sql()}, {partition_mark_sql()} SELECT batch_id, wm_before, wm_after FROM mark""",
+    "partition_watermark_idle": f"""
+WITH {audit_sql()}, {partition_mark_sql(IDLE_BATCHES)} SELECT batch_id, wm_before, wm_after FROM mark""",
+    "report_partition_changelog": f"""
+WITH {lateness_sql(mark=partition_mark_sql(IDLE_BATCHES))}
+SELECT batch_id, ws AS window_start_ms, type, area, n AS count, {_TIME} FROM emission""",
     "report_late_rows": f"""
 WITH {lateness_sql()} SELECT batch_id, {LATE_LINE_SQL} FROM judged WHERE late""",
     "report_window_final": f"""

@@ -228,6 +228,18 @@ def audit_events_from(
     return located.select(batch.alias("batch_id"), value.alias("value"), *keep)
 
 
+# Source partitions of the audit events, and hours for which the last of them rests at a time.
+PARTITIONS = 5
+REST_HOURS = 12
+
+
+def source_partition() -> Column:
+    """The partition an event comes by: by user, but the last one rests every other half day."""
+    own = F.pmod(F.col("user_id"), F.lit(PARTITIONS))
+    resting = whole_part(event_ms(), 3_600_000 * REST_HOURS) % 2 == 1
+    return F.when((own == PARTITIONS - 1) & resting, 0).otherwise(own).alias("partition")
+
+
 # Moves the events over a change of clocks in spring.
 SPRING_DAYS = 60
 

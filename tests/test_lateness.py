@@ -108,3 +108,40 @@ def test_scans_over_many_buckets(spark, monkeypatch):
     emissions, late, finals, _ = replayed(spark, batches, rules)
     expected = simulate(batches, rules.window_ms, rules.delay_ms, rules.lateness_ms)
     assert (sorted(emissions), sorted(late), sorted(finals)) == expected
+
+
+def slowest_marks(rows, rules, partitions, idle):
+    """Watermarks batch by batch, as a reader of several partitions would keep them."""
+    seen, last, mark, out = [0] * partitions, [-1] * partitions, -rules.delay_ms, []
+    for number, batch in enumerate(sorted({b for b, _, _ in rows})):
+        before = mark if out else None
+        for b, part, ms in rows:
+            if b == batch and part is not None and 0 <= part < partitions:
+                seen[part], last[part] = max(seen[part], ms), number
+        held = [s for s, at in zip(seen, last) if idle is None or number - at < idle]
+        if held:
+            mark = max(mark, min(held) - rules.delay_ms)
+        out.append((batch, before, mark))
+    return out
+
+
+@pytest.mark.parametrize("idle", [None, 1, 2, 3])
+@pytest.mark.parametrize("seed", range(3))
+def test_the_slowest_partition_holds_the_watermark(spark, monkeypatch, seed, idle):
+    monkeypatch.setattr(lateness, "BATCHES_PER_BUCKET", 4)
+    draw, rules = random.Random(seed), ReportRules()
+    rows = [
+        (b, part, draw.randint(-5, 40) * 1_000 + b * 3_000)
+        for b in sorted(draw.sample(range(-3, 40), 18)) for part in draw.sample([0, 1, 2, 7, None], draw.randint(1, 4))
+    ]
+    df = spark.createDataFrame(rows, "batch_id bigint, partition int, max_ms bigint")
+    marks = lateness.partition_watermark(df, rules, 3, idle)
+    assert sorted(map(tuple, marks.collect())) == slowest_marks(rows, rules, 3, idle)
+
+
+def test_one_partition_is_the_plain_watermark(spark):
+    rows = [(b, 0, ms) for b, ms in ((0, 5_000), (1, 90_000), (3, 20_000), (4, 95_000))]
+    df = spark.createDataFrame(rows, "batch_id bigint, partition int, max_ms bigint")
+    plain = lateness.batch_watermark(df, ReportRules())
+    assert sorted(map(tuple, lateness.partition_watermark(df, ReportRules(), 1).collect())) == sorted(map(tuple, plain.collect()))
+    assert lateness.partition_watermark(df.limit(0), ReportRules(), 2).count() == 0
