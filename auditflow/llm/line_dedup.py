@@ -90,9 +90,12 @@ def _described(lines: DataFrame, ranks: Column, similarity: float) -> DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``doc`` and ``tag``, which stand for a row: its doc_id and a hash of its text."""
-    tag = F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 31) - 1))
-    return docs.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("tag", tag)
+    """``docs`` with ``doc`` and ``tag``, which stand for a row: its doc_id and 64 bits of its text."""
+    return docs.withColumn("doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("tag", _tag())
+
+
+def _tag() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _needed(similarity: float) -> Column:
@@ -176,7 +179,7 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     keyed = _keyed(docs.select("doc_id", "text").where("text is not null"))
     ranks = _stored(rarity(docs), "line-ranks").select("ranks").scalar()
     lines = keyed.select("doc", "tag", F.posexplode(F.split("text", "\n")).alias("number", "line")).where(~_blank(F.col("line")))
-    place = F.shiftleft(F.col("tag"), 32).bitwiseOR(F.col("number"))
+    place = F.struct("tag", "number")
     described = _described(lines.select("doc", place.alias("place"), "line"), ranks, similarity)
     # Lines of the same words are one class, and all but the first of a class go.
     code = [F.xxhash64("keys", F.lit(i)).alias(f"code{i}") for i in (1, 2)]
@@ -189,8 +192,7 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     partner = (F.col("a.word") == F.col("b.word")) & (F.col("a.code1") != F.col("b.code1")) & _may_match(similarity, TWO)
     likely = _stored(a.join(b, partner, "left_semi").select("code1").distinct(), "line-likely")
     asked = classes.select("code1", "doc", "place").join(likely, "code1", "left_semi")
-    number = F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-    by_doc = asked.groupBy("doc", F.shiftright("place", 32).alias("tag")).agg(F.collect_set(number).alias("numbers"))
+    by_doc = asked.groupBy("doc", "place.tag").agg(F.collect_set("place.number").alias("numbers"))
     # Rows equal in doc_id and text are read once; mostly there are none.
     repeated = _stored(keyed.groupBy("doc", "tag").count().where("count > 1").select("doc", "tag"), "line-repeated")
     rows = keyed.select("doc", "tag", "text")
@@ -211,7 +213,7 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     pairs = _stored(_later(left, entries, similarity), "line-pairs")
     gone = _stored(settled.union(_verified(pairs, known, similarity)), "line-gone")
     staying = classes.select("doc", "place").join(gone, ["doc", "place"], "left_anti")
-    return staying.groupBy("doc", F.shiftright("place", 32).alias("tag")).agg(F.sort_array(F.collect_set(number)).alias("kept"))
+    return staying.groupBy("doc", "place.tag").agg(F.sort_array(F.collect_set("place.number")).alias("kept"))
 
 
 def line_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -255,7 +257,7 @@ def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> D
     kept = stage(kept_lines(docs, similarity), "lines-kept").select(
         F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("kept").alias("__kept")
     )
-    keyed = docs.withColumn("__tag2", F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 31) - 1)))
+    keyed = docs.withColumn("__tag2", _tag())
     joined = keyed.join(
         kept, (F.coalesce(docs["doc_id"], F.lit(LAST)) == kept["__doc"]) & (keyed["__tag2"] == kept["__tag"]), "left"
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,13 +15,9 @@ from auditflow.llm.factors import CHUNK, chunks, first_of, joined_runs, windows,
 
 WINDOW = 13
 LAST = (1 << 63) - 1
-# A place holds a tag of the text above the number of the word.
-TAG_BITS = 24
-PLACE_BITS = 40
-_PLACE = (1 << PLACE_BITS) - 1
-_TAG = (1 << (63 - PLACE_BITS)) - 1
-_INDEX = "seed long, doc long, place long, marks binary"
-_FACTORS = "doc long, place long, n long, ref long, ref_place long"
+# ``row`` is a hash of the text, which tells rows of one doc_id apart; ``place`` is the number of a word.
+_INDEX = "seed long, doc long, row long, place long, marks binary"
+_FACTORS = "doc long, row long, place long, n long, ref long, ref_place long"
 
 
 def _binary(data: bytes, offsets: np.ndarray) -> pa.Array:
@@ -31,7 +26,9 @@ def _binary(data: bytes, offsets: np.ndarray) -> pa.Array:
     )
 
 
-def _entries(doc: np.ndarray, place: np.ndarray, seed: np.ndarray, mark: np.ndarray) -> list[pa.RecordBatch]:
+def _entries(
+    doc: np.ndarray, row: np.ndarray, place: np.ndarray, seed: np.ndarray, mark: np.ndarray
+) -> list[pa.RecordBatch]:
     """Index entries for windows given by document, then place.
 
     Windows that a smaller document of the same batch has are factors already and are passed on as
@@ -42,26 +39,25 @@ def _entries(doc: np.ndarray, place: np.ndarray, seed: np.ndarray, mark: np.ndar
     out = []
     asked = np.flatnonzero(~known)
     if len(asked):
-        starts, lengths = joined_runs(doc[asked], place[asked], seed[asked], rising=(1,))
+        starts, lengths = joined_runs(doc[asked], place[asked], seed[asked], row[asked], rising=(1,))
         at = asked[starts]
         offsets = np.append(0, np.cumsum(lengths * mark.itemsize))
-        out.append(_batch(seed[at].view(np.int64), doc[at], place[at], _binary(mark[asked].tobytes(), offsets)))
+        out.append(_batch(seed[at].view(np.int64), doc[at], row[at], place[at], _binary(mark[asked].tobytes(), offsets)))
     if len(told := np.flatnonzero(known)):
         ref, ref_place = doc[first[told]], place[first[told]]
-        starts, lengths = joined_runs(doc[told], place[told], ref, ref_place, rising=(1, 3))
+        starts, lengths = joined_runs(doc[told], place[told], ref, ref_place, row[told], rising=(1, 3))
         at = told[starts]
         packed = np.zeros(len(at), dtype=[("kind", "u1"), ("n", "<i8"), ("ref", "<i8"), ("ref_place", "<i8")])
         packed["n"], packed["ref"], packed["ref_place"] = lengths, ref[starts], ref_place[starts]
         offsets = np.arange(len(at) + 1) * packed.itemsize
         # Any seed will do; the place spreads them.
-        out.append(_batch(place[at] * -7046029254386353131, doc[at], place[at], _binary(packed.tobytes(), offsets)))
+        out.append(_batch(place[at] * -7046029254386353131, doc[at], row[at], place[at], _binary(packed.tobytes(), offsets)))
     return out
 
 
-def _batch(seed, doc, place, marks) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(seed), pa.array(doc), pa.array(place), marks], names=["seed", "doc", "place", "marks"]
-    )
+def _batch(*columns) -> pa.RecordBatch:
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
+    return pa.RecordBatch.from_arrays(arrays, names=["seed", "doc", "row", "place", "marks"])
 
 
 def _index(window: int):
@@ -69,15 +65,14 @@ def _index(window: int):
         with np.errstate(over="ignore"):
             for batch in batches:
                 ids = [LAST if i is None else i for i in batch.column(0).to_pylist()]
-                texts = batch.column(1)
+                texts, rows = batch.column(1), batch.column(2).to_pylist()
                 held, size = [], 0
-                for row in sorted(range(len(ids)), key=ids.__getitem__):
-                    text = texts[row].as_py() or b""
+                for i in sorted(range(len(ids)), key=ids.__getitem__):
+                    text = texts[i].as_py() or b""
                     hashes = word_hashes(text.split())
-                    tag = (zlib.crc32(text) & _TAG) << PLACE_BITS
                     for a, b in chunks(len(hashes) - window + 1):
                         seed, mark = windows(hashes[a:b + window - 1], window)
-                        held.append((np.full(b - a, ids[row]), tag + np.arange(a, b), seed, mark))
+                        held.append((np.full(b - a, ids[i]), np.full(b - a, rows[i]), np.arange(a, b), seed, mark))
                         size += b - a
                         if size >= CHUNK:
                             yield from _entries(*map(np.concatenate, zip(*held)))
@@ -89,22 +84,22 @@ def _index(window: int):
 
 
 def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Factors from index entries in the order of seed, document and place.
+    """Factors from index entries in the order of seed, document, row and place.
 
     Of the last seed of a batch the first document of each window is carried to the next batch.
     """
     carried = None
     with np.errstate(over="ignore"):
         for batch in batches:
-            seeds, docs, places = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            marks = batch.column(3)
+            seeds, docs, rows, places = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            marks = batch.column(4)
             offsets = np.frombuffer(marks.buffers()[1], dtype="<i4")[marks.offset:marks.offset + len(marks) + 1]
             data = np.frombuffer(marks.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] else np.empty(0, np.uint8)
             lengths = np.diff(offsets)
             told = lengths % 8 == 1
             if told.any():
                 packed = data[np.repeat(told, lengths)].view([("kind", "u1"), ("n", "<i8"), ("ref", "<i8"), ("ref_place", "<i8")])
-                yield _factors(docs[told], places[told], packed["n"], packed["ref"], packed["ref_place"])
+                yield _factors(docs[told], rows[told], places[told], packed["n"], packed["ref"], packed["ref_place"])
             asked = ~told
             counts = lengths[asked] // 8
             if not len(counts):
@@ -112,10 +107,11 @@ def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mark = data[np.repeat(asked, lengths)].view("<u8")
             within = np.arange(len(mark)) - np.repeat(np.cumsum(counts) - counts, counts)
             seed = np.repeat(seeds[asked].view(np.uint64), counts)
-            doc, place = np.repeat(docs[asked], counts), np.repeat(places[asked], counts) + within
+            doc, row = np.repeat(docs[asked], counts), np.repeat(rows[asked], counts)
+            place = np.repeat(places[asked], counts) + within
             if carried is not None and carried[0][0] == seed[0]:
                 n = len(carried[0])
-                seed, mark, doc, place = (np.concatenate(p) for p in zip(carried, (seed, mark, doc, place)))
+                seed, mark, doc, row, place = (np.concatenate(p) for p in zip(carried, (seed, mark, doc, row, place)))
             else:
                 n = 0
             first = first_of(seed, mark)
@@ -123,11 +119,11 @@ def _lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = found[found >= n]
             if len(found):
                 ref, ref_place = doc[first[found]], place[first[found]]
-                starts, runs = joined_runs(doc[found], place[found], ref, ref_place, rising=(1, 3))
+                starts, runs = joined_runs(doc[found], place[found], ref, ref_place, row[found], rising=(1, 3))
                 at = found[starts]
-                yield _factors(doc[at], place[at], runs, ref[starts], ref_place[starts])
+                yield _factors(doc[at], row[at], place[at], runs, ref[starts], ref_place[starts])
             keep = np.flatnonzero((seed == seed[-1]) & (first == np.arange(len(first))))
-            carried = (seed[keep], mark[keep], doc[keep], place[keep])
+            carried = (seed[keep], mark[keep], doc[keep], row[keep], place[keep])
 
 
 def _factors(*columns: np.ndarray) -> pa.RecordBatch:
@@ -136,7 +132,7 @@ def _factors(*columns: np.ndarray) -> pa.RecordBatch:
 
 
 def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc, tag, at, n, ref, ref_at``: runs of windows that stand in a smaller doc_id, too.
+    """``doc, row, at, n, ref, ref_at``: runs of windows that stand in a smaller doc_id, too.
 
     All documents are the reference. Its index is dealt into blocks by seed: the least k-mer of a
     window, so neighbouring windows mostly share an entry, and equal windows meet in one block. In
@@ -145,14 +141,15 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     The windows over the border of two factors are looked up like all others. A window is known by
     the 64 bits of its seed and 64 bits of its own, and both are compared. A null doc_id stands above all others.
     """
-    read = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    read = docs.select("doc_id", F.col("text").cast("binary").alias("text"), _row().alias("row"))
     entries = read.mapInArrow(_index(window), _INDEX).repartition("seed")
-    found = entries.sortWithinPartitions("seed", "doc", "place").mapInArrow(_lookup, _FACTORS)
-    tag = F.shiftright("place", PLACE_BITS)
-    word = lambda c: F.col(c).bitwiseAND(F.lit(_PLACE))
-    return found.select(
-        "doc", tag.alias("tag"), word("place").alias("at"), "n", "ref", word("ref_place").alias("ref_at")
-    )
+    found = entries.sortWithinPartitions("seed", "doc", "row", "place").mapInArrow(_lookup, _FACTORS)
+    return found.select("doc", "row", F.col("place").alias("at"), "n", "ref", F.col("ref_place").alias("ref_at"))
+
+
+def _row() -> Column:
+    """64 bits of the text: rows that agree in them and in their doc_id are taken for equal rows."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def parse(at: list[int], n: list[int], ref: list[int], ref_at: list[int], window: int) -> list[tuple[int, int]]:
@@ -205,10 +202,9 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     the factors; documents are joined by doc_id and a hash of the text.
     """
     docs = docs.select("doc_id", "text")
-    runs = factors(docs, window).groupBy("doc", "tag").agg(F.collect_list(F.struct("at", "n", "ref", "ref_at")).alias("runs"))
-    tag = F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(_TAG))
-    keyed = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("__tag", tag)
-    joined = keyed.join(runs, (F.col("__doc") == F.col("doc")) & (F.col("__tag") == F.col("tag")), "left")
+    runs = factors(docs, window).groupBy("doc", "row").agg(F.collect_list(F.struct("at", "n", "ref", "ref_at")).alias("runs"))
+    keyed = docs.withColumn("__doc", F.coalesce("doc_id", F.lit(LAST))).withColumn("__row", _row())
+    joined = keyed.join(runs, (F.col("__doc") == F.col("doc")) & (F.col("__row") == F.col("row")), "left")
     return joined.select("doc_id", remove(F.col("text"), F.col("runs"), window).alias("r")).select("doc_id", "r.*")
 
 

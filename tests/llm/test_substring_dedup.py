@@ -101,3 +101,16 @@ def test_first_of_compares_both_numbers(monkeypatch):
     assert X.first_of(seeds, marks).tolist() == expected
     monkeypatch.setattr(X, "pair_key", lambda s, m: X.np.zeros_like(s))
     assert X.first_of(seeds, marks).tolist() == expected
+
+
+def equal_checksums():
+    """Two texts without a common word whose CRC32 agree in 31 bits."""
+    return [" ".join(f"q{i}x{j}" for j in range(14)) for i in (7392, 24198)]
+
+
+def test_rows_of_one_id_with_equal_checksums_are_told_apart(docs):
+    a, b = equal_checksums()
+    rows = [(1, a), (None, a), (None, b), (5, b), (5, a)]
+    assert got(docs(*rows), 13) == plain(rows, 13)
+    rows = [(1, a), (7, a), (7, b), (7, b)]
+    assert got(docs(*rows), 13) == plain(rows, 13)
