@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditflow.functions.evaluate import with_once
 from auditflow.llm.common import table, with_columns_of
 from auditflow.session import stage
 
 # Template words in a window, and the share of an item's windows that makes a leak.
 WINDOW, SHARE = 8, 0.5
-# Words of an item in a row that make a leak whatever its share, where that is looked for.
+# Words of an item in a row that make a leak whatever its share.
 RUN = 13
 # A word or number with the sentence mark and spaces before it.
 TOKEN = r"[.!?:]?[ ]*(?:[\p{L}\p{M}]+|[0-9]+(?:[.,/][0-9]+)*)"
@@ -59,34 +60,47 @@ def _windows(hashes: Column, length: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(length))))
 
 
-def _items(benchmark: DataFrame, window: int, thorough: bool) -> DataFrame:
-    """``item_id, item_hash, raw, words, named, length, windows`` of the rows that have words, equal rows once.
+def _plain(words: Column, at: Column, length: Column | int) -> Column:
+    """Whether the window at a place has a word that is no placeholder."""
+    return F.exists(F.slice(words, at + 1, F.lit(length) if isinstance(length, int) else length), lambda w: ~w.isin(NAME, NUMBER, UNIT))
 
-    ``named`` says that the first word would be a name inside a sentence. A thorough search takes the
-    words of items shorter than a window as they are.
+
+def _items(benchmark: DataFrame, window: int) -> DataFrame:
+    """``item_id, item_hash, raw, words, own, named, length, at, windows``, equal rows once.
+
+    ``at`` are the places of the windows that count: those with a word that is no placeholder. Items
+    that have none, and items shorter than a window, are searched by their ``own`` words. ``named``
+    says that the first word would be a name inside a sentence.
     """
     rows = benchmark.select("item_id", F.xxhash64("text").alias("item_hash"), tokens(F.col("text")).alias("t")).distinct()
-    return rows.where(F.size("t") > 0).select(
-        "item_id", "item_hash",
-        F.transform("t", bare).alias("raw"),
-        F.when((F.size("t") < window) & F.lit(thorough), F.transform("t", bare)).otherwise(F.transform("t", canonical)).alias("words"),
-        (_capitalised(F.ltrim(F.get("t", F.lit(0)), F.lit(".!?: "))) & (F.size("t") >= window)).alias("named"),
+    rows = rows.where(F.size("t") > 0).select(
+        "item_id", "item_hash", "t", F.transform("t", bare).alias("raw"), F.transform("t", canonical).alias("template"),
         F.least(F.size("t"), F.lit(window)).alias("length"),
-        (F.size("t") - F.least(F.size("t"), F.lit(window)) + 1).alias("windows"),
     )
-
-
-def _slots(beside: bool) -> Column:
+    rows = _replaced(rows, "template", F.col("template"))
+    rows = rows.withColumn("every", F.sequence(F.lit(0), F.size("t") - F.col("length")))
+    rows = with_once(rows, "plain", F.filter("every", lambda a: _plain(F.col("template"), a, F.col("length"))))
+    own = (F.size("t") < window) | (F.size("plain") == 0)
+    rows = rows.withColumn("own", own)
+    return rows.select(
+        "item_id", "item_hash", "raw", "own", "length",
+        F.when(F.col("own"), F.col("raw")).otherwise(F.col("template")).alias("words"),
+        (~F.col("own") & _capitalised(F.ltrim(F.get("t", F.lit(0)), F.lit(".!?: ")))).alias("named"),
+        F.when(F.col("own"), F.col("every")).otherwise(F.col("plain")).alias("at"),
+    ).withColumn("windows", F.size("at"))
+
+
+def _slots() -> Column:
     """The distinct slots in the windows ``at`` of a reading, with the item's and the document's value.
 
-    With ``beside``, numbers before different words of the item are different slots.
+    Numbers before different words of the item are different slots.
     """
     return F.array_distinct(F.filter(
         F.transform("words", lambda w, i: F.when(
             w.isin(NAME, NUMBER, UNIT)
             & F.exists("at", lambda a: (a <= i) & (i < a + F.col("length"))),
             F.struct(
-                w.alias("kind"), F.get("raw", i).alias("item"), _beside(w, i, beside).alias("beside"),
+                w.alias("kind"), F.get("raw", i).alias("item"), _beside(w, i).alias("beside"),
                 F.get("here_raw", i).alias("doc"),
             ),
         )),
@@ -94,8 +108,8 @@ def _slots(beside: bool) -> Column:
     ))
 
 
-def _beside(word: Column, i: Column, beside: bool) -> Column:
-    return F.when((word == NUMBER) & F.lit(beside), F.coalesce(F.get("raw", i + 1), F.lit(""))).otherwise("")
+def _beside(word: Column, i: Column) -> Column:
+    return F.when(word == NUMBER, F.coalesce(F.get("raw", i + 1), F.lit(""))).otherwise("")
 
 
 def _key(slot: Column) -> Column:
@@ -104,70 +118,60 @@ def _key(slot: Column) -> Column:
 
 def _judged(readings: DataFrame) -> DataFrame:
     """Readings with the windows ``at`` whose words are the item's own or that hold no contradicting slot."""
-    keys = F.transform(_slots(True), _key)
-    torn = F.filter(F.array_distinct(keys), lambda k: F.size(F.filter("keys", lambda x: x == k)) > 1)
-    held = readings.withColumn("keys", keys).withColumn("torn", torn)
-    odd = F.transform("words", lambda w, i: F.exists(
-        "torn", lambda k: k == F.struct(w, F.get("raw", i), _beside(w, i, True))
-    ))
+    keys = F.transform(_slots(), _key)
+    torn = F.filter(F.array_distinct("keys"), lambda k: F.size(F.filter("keys", lambda x: x == k)) > 1)
+    # What a lambda refers to is made by itself, or it would be made again for each element.
+    held = with_once(with_once(readings, "keys", keys), "torn", torn)
+    odd = F.transform("words", lambda w, i: F.exists("torn", lambda k: k == F.struct(w, F.get("raw", i), _beside(w, i))))
     of = lambda c, a: F.slice(c, a + 1, F.col("length"))
     fits = F.filter("at", lambda a: (of("here_raw", a) == of("raw", a)) | ~F.exists(of("odd", a), lambda x: x))
-    return held.withColumn("odd", odd).withColumn("at", fits).where(F.size("at") > 0).drop("keys", "torn", "odd")
+    judged = _replaced(with_once(held, "odd", odd), "at", fits)
+    return judged.where(F.size("at") > 0).drop("keys", "torn", "odd")
 
 
-def leaks(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, thorough: bool = False
-) -> DataFrame:
+def _replaced(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """``with_once`` for a column that is there already."""
+    return with_once(df, "__new", expr).drop(name).withColumnRenamed("__new", name)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """Documents that hold benchmark items, also with other numbers, names and units.
 
     ``doc_id, text_hash, item_id, n_windows, item_windows, first_word, same_values`` per document and
-    item. Both are turned into template words; windows of ``window`` of them are joined by hash, and
-    an item shorter than that is one window. Windows that match at one shift form a reading. It
-    counts if the words themselves agree and its slots are consistent: wherever the item has one
-    value in slots of a type, the document has one, too. With ``thorough`` only the windows that
-    hold a slot with two values are left out, not the reading; windows of the item's own words always
-    count, numbers are one slot only before one word, and ``RUN`` words of the item in a row make a
-    leak whatever their share; the first word of an item may be a name in the document, and an item
-    shorter than a window is found by its own words. Otherwise a document leaks an item if the readings
-    that count have at least ``share`` of its windows. ``same_values`` says that all slots have the
-    item's own values; ``first_word`` is the first word of the earliest reading, from 0.
+    item. Both are turned into template words; windows of ``window`` of them are joined by hash.
+    Windows of placeholders alone say nothing and do not count: a table of numbers is no leak, and
+    costs no more than its words. An item shorter than a window is one window of its own words; the
+    first word of a longer one may be a name in the document.
+
+    Windows that match at one shift form a reading. A slot is a placeholder with the item's value, a
+    number also with the word behind it. Where the document has two values for one slot, the windows
+    with it are left out, unless their words are the item's own. A document leaks an item if the
+    readings have at least ``share`` of its windows, or ``RUN`` words of the item in a row.
+    ``same_values`` says that all slots have the item's own values; ``first_word`` is the first word
+    of the earliest reading, from 0.
 
     Null and empty texts have no windows. Rows equal in doc_id and text are reported once, rows that
     repeat a doc_id with another text by themselves, and null is a doc_id like any other. An empty
-    table or benchmark gives an empty result; other columns are not read. Windows are joined, never
-    paired within a group: a passage that many documents share costs a row per document and window.
+    table or benchmark gives an empty result; other columns, whatever their names, are not read. Very
+    long texts are cut into words once. Windows are joined, never paired within a group: a passage
+    that many documents share costs a row per document and window.
     """
     docs = docs.select("doc_id", "text")
-    items = stage(_items(benchmark, window, thorough), "items")
-    lengths = sorted(r[0] for r in items.select("length").distinct().collect())
-    if not lengths:
-        lengths = [window]
-    word_hashes = lambda words: F.transform(words, lambda w: F.xxhash64(w))
-    by_place = items.select(
-        "item_id", "item_hash", "length", "windows", F.posexplode(_by_length(word_hashes("words"), lengths)).alias("at", "hash")
-    )
-    if thorough:
-        start = _as_name(F.slice("words", 1, window))
-        by_place = by_place.unionByName(items.where("named").select(
-            "item_id", "item_hash", "length", "windows", F.lit(0).alias("at"),
-            F.get(_windows(word_hashes(start), window), F.lit(0)).alias("hash"),
-        ))
-    wanted = stage(by_place, "item-windows")
-    words = tokens(F.col("text"))
-    hashed = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"),
-        F.transform(words, lambda t: F.xxhash64(canonical(t))).alias("hashes"),
-        F.transform(words, lambda t: F.xxhash64(bare(t))).alias("own_hashes"),
-    )
-    matches = []
-    for length in lengths:
-        of = F.col("own_hashes" if thorough and length < window else "hashes")
-        here = hashed.select("doc_id", "text_hash", F.posexplode(_windows(of, length)).alias("place", "hash"))
-        there = wanted.where(F.col("length") == length).select("item_id", "item_hash", "windows", "at", "hash")
-        matches.append(here.join(there, "hash"))
-    found = matches[0]
-    for more in matches[1:]:
-        found = found.unionByName(more)
+    items = stage(_items(benchmark, window), "items")
+    kinds = items.groupBy("length", "own").count().collect()
+    wanted = stage(_item_windows(items, window), "item-windows")
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), tokens(F.col("text")).alias("t"))
+    hashed = with_once(words, "hashes", F.transform("t", lambda t: F.xxhash64(canonical(t))))
+    if any(r.own for r in kinds):
+        hashed = with_once(hashed, "own_hashes", F.transform("t", lambda t: F.xxhash64(bare(t))))
+    # Windows of every length that some item has, in one pass over the words.
+    every = [_windows(F.col("own_hashes" if own else "hashes"), length) for length, own in sorted({(r.length, r.own) for r in kinds})]
+    every = [F.transform(w, lambda h, i: F.struct(i.alias("place"), h.alias("hash"))) for w in every] or [
+        F.array().cast("array<struct<place: int, hash: bigint>>")
+    ]
+    here = hashed.select("doc_id", "text_hash", F.explode(F.flatten(F.array_compact(F.array(*every))) if len(every) > 1 else every[0]).alias("w"))
+    here = here.select("doc_id", "text_hash", "w.place", "w.hash")
+    found = here.join(wanted, "hash")
     # A shift is a document's and an item's alignment; its windows are at most those of the item.
     shifts = found.groupBy("doc_id", "text_hash", "item_id", "item_hash", (F.col("place") - F.col("at")).alias("shift")).agg(
         F.collect_set("at").alias("at"), F.first("windows").alias("windows")
@@ -178,13 +182,13 @@ def leaks(
     row = max(1, RUN - window + 1)
     enough = shifts.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.sum(F.size("at")).alias("n"), F.first("windows").alias("windows")
-    ).where(F.col("n") >= (F.least(least("windows"), F.lit(row)) if thorough else least("windows"))).drop("windows", "n")
+    ).where(F.col("n") >= F.least(least("windows"), F.lit(row))).drop("windows", "n")
     keys = ["doc_id", "text_hash", "item_id", "item_hash"]
     likely = _null_safe(shifts, enough, keys)
-    readings = _null_safe_join(likely, items.select("item_id", "item_hash", "raw", "words", "named", "length"), ["item_id", "item_hash"])
+    lengths = items.select("item_id", "item_hash", F.size("words").alias("size"))
     parts = stage(
-        readings.groupBy("doc_id", "text_hash").agg(
-            F.collect_list(F.struct("item_id", "item_hash", "shift", "at", "windows", "raw", "words", "named", "length")).alias("readings")
+        _null_safe_join(likely, lengths, ["item_id", "item_hash"]).groupBy("doc_id", "text_hash").agg(
+            F.collect_list(F.struct("item_id", "item_hash", "shift", "at", "windows", "size")).alias("readings")
         ),
         "readings",
     )
@@ -194,34 +198,28 @@ def leaks(
     cut = texts.select("doc_id", "text_hash", tokens(F.col("text")).alias("t"), "readings").select(
         "doc_id", "text_hash", F.explode(F.transform("readings", lambda r: F.struct(
             r["item_id"].alias("item_id"), r["item_hash"].alias("item_hash"), r["shift"].alias("shift"),
-            r["at"].alias("at"), r["windows"].alias("windows"), r["raw"].alias("raw"), r["words"].alias("words"),
-            r["named"].alias("named"), r["length"].alias("length"),
+            r["at"].alias("at"), r["windows"].alias("windows"),
             # The document's words that stand against the item's.
-            F.transform(r["words"], lambda _, i: F.get(F.col("t"), r["shift"] + i)).alias("here"),
+            F.transform(F.sequence(F.lit(0), r["size"] - 1), lambda i: F.get(F.col("t"), r["shift"] + i)).alias("here"),
         ))).alias("r"),
     ).select("doc_id", "text_hash", "r.*")
-    cut = cut.withColumn("here_raw", F.transform("here", bare))
-    here = lambda a: F.transform(F.slice("here", a + 1, F.col("length")), canonical)
-    if thorough:
-        # A first word that is a name in the document is read as one.
-        name = F.col("named") & (canonical(F.get("here", F.lit(0))) == NAME)
-        cut = cut.withColumn("words", F.when(name, _as_name(F.col("words"))).otherwise(F.col("words")))
-        template = here
-        here = lambda a: F.when(F.col("length") < window, F.slice("here_raw", a + 1, F.col("length"))).otherwise(template(a))
-    checked = cut.withColumn("at", F.filter("at", lambda a: here(a) == F.slice("words", a + 1, F.col("length"))))
-    checked = checked.where(F.size("at") > 0)
-    if thorough:
-        checked = _judged(checked)
-    slotted = checked.withColumn("slots", _slots(thorough))
-    consistent = F.lit(True) if thorough else F.size("slots") == F.size(F.array_distinct(F.transform("slots", _key)))
+    # The item's own words come by a join after the texts are gone, one row for each reading.
+    cut = stage(cut.distinct(), "readings-cut")
+    cut = _null_safe_join(
+        cut, items.select("item_id", "item_hash", "raw", "words", "own", "named", "length"), ["item_id", "item_hash"]
+    )
+    cut = with_once(cut, "here_raw", F.transform("here", bare))
+    cut = _replaced(cut, "here", F.when(F.col("own"), F.col("here_raw")).otherwise(F.transform("here", canonical)))
+    # A first word that is a name in the document is read as one.
+    name = F.col("named") & F.coalesce(F.get("here", F.lit(0)) == NAME, F.lit(False))
+    cut = _replaced(cut, "words", F.when(name, _as_name(F.col("words"))).otherwise(F.col("words")))
+    of = lambda c, a: F.slice(c, a + 1, F.col("length"))
+    checked = _replaced(cut, "at", F.filter("at", lambda a: of("here", a) == of("words", a))).where(F.size("at") > 0)
+    slotted = with_once(_judged(checked), "slots", _slots())
     same = F.forall("slots", lambda s: s["item"] == s["doc"])
-    own = F.filter("at", lambda a: F.slice("here_raw", a + 1, F.col("length")) == F.slice("raw", a + 1, F.col("length")))
-    quoted = F.exists("own", lambda a: F.forall(F.sequence(F.lit(1), F.lit(row)), lambda k: F.array_contains("own", a + k - 1)))
-    if thorough:
-        slotted = slotted.withColumn("own", own).withColumn("quoted", quoted)
-    else:
-        slotted = slotted.withColumn("quoted", F.lit(False))
-    counted = slotted.where(consistent).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
+    slotted = with_once(slotted, "quotes", F.filter("at", lambda a: of("here_raw", a) == of("raw", a)))
+    quoted = F.exists("quotes", lambda a: F.forall(F.sequence(F.lit(1), F.lit(row)), lambda k: F.array_contains("quotes", a + k - 1)))
+    counted = slotted.withColumn("quoted", quoted).groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_windows"),
         F.first("windows").alias("item_windows"),
         F.min(F.col("shift") + F.array_min("at")).alias("first_word"),
@@ -234,19 +232,29 @@ def leaks(
     )
 
 
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """``item_id, item_hash, windows, at, hash`` of each window that counts, with the first word also as a name."""
+    codes = lambda words: F.transform(words, lambda w: F.xxhash64(w))
+    # Hashed as the windows of documents are.
+    whole = {n: _windows(F.col("codes"), n) for n in range(1, window + 1)}
+    hashes = whole[window]
+    for n in range(1, window):
+        hashes = F.when(F.col("length") == n, whole[n]).otherwise(hashes)
+    coded = with_once(items, "codes", codes("words")).withColumn("hashes", hashes)
+    own = ["item_id", "item_hash", "windows"]
+    plain = coded.select(*own, F.explode("at").alias("at"), "hashes").select(*own, "at", F.get("hashes", F.col("at")).alias("hash"))
+    as_name = _as_name(F.slice("words", 1, window))
+    first = items.where(F.col("named") & F.array_contains("at", 0)).select(
+        *own, F.lit(0).alias("at"), F.get(_windows(codes(as_name), window), F.lit(0)).alias("hash")
+    )
+    return plain.unionByName(first)
+
+
 def _as_name(words: Column) -> Column:
     """The words with a name for the first."""
     return F.transform(words, lambda w, i: F.when(i == 0, F.lit(NAME)).otherwise(w))
 
 
-def _by_length(hashes: Column, lengths: list[int]) -> Column:
-    """The windows of an item, whose length is one of these."""
-    out = _windows(hashes, lengths[-1])
-    for length in lengths[:-1]:
-        out = F.when(F.col("length") == length, _windows(hashes, length)).otherwise(out)
-    return out
-
-
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` whose keys are in ``right``; null equals null."""
     other = right.select(*(F.col(k).alias(f"__{k}") for k in keys))
@@ -259,12 +267,10 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(other, [left[k].eqNullSafe(other[f"__{k}"]) for k in keys]).drop(*(f"__{k}" for k in keys))
 
 
-def clean(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE, thorough: bool = False
-) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """``docs`` without those that leak an item; columns as in ``docs``."""
-    found = leaks(docs, benchmark, window, share, thorough).select("doc_id", "text_hash").distinct()
-    found = stage(found, "leaks").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"))
+    found = stage(leaks(docs, benchmark, window, share).select("doc_id", "text_hash").distinct(), "leaks")
+    found = found.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__text"))
     same = docs["doc_id"].eqNullSafe(found["__doc"]) & (F.xxhash64(docs["text"]) == found["__text"])
     return with_columns_of(docs.join(found, same, "left_anti"), docs)
 
@@ -285,6 +291,8 @@ def _canonical_sql(t: str) -> str:
     )
 
 
+_KINDS = f"('{NAME}', '{NUMBER}', '{UNIT}')"
+
 OP10_SQL = rf"""
 WITH d AS (
   SELECT DISTINCT doc_id, text, regexp_extract_all(coalesce(text, ''), '{TOKEN}') AS t FROM documents
@@ -294,34 +302,61 @@ WITH d AS (
   SELECT doc_id, text, list_transform(t, lambda x: {_canonical_sql('x')}) AS w,
     list_transform(t, lambda x: lower(ltrim(x, '.!?: '))) AS raw FROM d
 ), iw AS (
-  SELECT item_id, text, list_transform(t, lambda x: {_canonical_sql('x')}) AS w,
+  SELECT item_id, text, list_transform(t, lambda x: {_canonical_sql('x')}) AS template, ltrim(t[1], '.!?: ') AS start,
     list_transform(t, lambda x: lower(ltrim(x, '.!?: '))) AS raw, least(len(t), {WINDOW}) AS length FROM i
+), told AS (
+  SELECT *, len(raw) < {WINDOW} OR len(list_filter(range(0, len(raw) - length + 1),
+    lambda a: len(list_filter(template[a + 1:a + length], lambda x: x NOT IN {_KINDS})) > 0)) = 0 AS own FROM iw
+), items AS (
+  SELECT item_id, text, raw, length, own, CASE WHEN own THEN raw ELSE template END AS w,
+    NOT own AND substr(start, 1, 1) <> lower(substr(start, 1, 1)) AND substr(start, 2, 1) <> upper(substr(start, 2, 1)) AS named,
+    list_filter(range(0, len(raw) - length + 1),
+      lambda a: own OR len(list_filter(template[a + 1:a + length], lambda x: x NOT IN {_KINDS})) > 0) AS places
+  FROM told
+), forms AS (
+  SELECT item_id, text, raw, length, own, w, false AS as_name, places FROM items
+  UNION ALL SELECT item_id, text, raw, length, own, list_concat(['{NAME}'], w[2:]), true, places FROM items WHERE named
 ), item_windows AS (
-  SELECT item_id, text AS item_text, w, raw, length, len(w) - length + 1 AS windows, a AS item_at,
+  SELECT item_id, text AS item_text, raw, length, own, as_name, w, len(places) AS windows, a AS item_at,
     array_to_string(w[a + 1:a + length], ' ') AS key
-  FROM (SELECT *, unnest(range(0, len(w) - length + 1)) AS a FROM iw)
+  FROM (SELECT *, unnest(places) AS a FROM forms)
 ), doc_windows AS (
-  SELECT doc_id, text, raw, length, p AS place, array_to_string(w[p + 1:p + length], ' ') AS key
-  FROM (SELECT dw.*, l.length, unnest(range(0, greatest(0, len(w) - l.length + 1))) AS p
-        FROM dw CROSS JOIN (SELECT DISTINCT length FROM iw) l)
+  SELECT doc_id, text, raw, w, length, own, p AS place,
+    array_to_string(CASE WHEN own THEN raw[p + 1:p + length] ELSE w[p + 1:p + length] END, ' ') AS key
+  FROM (SELECT dw.*, l.length, l.own, unnest(range(0, greatest(0, len(w) - l.length + 1))) AS p
+        FROM dw CROSS JOIN (SELECT DISTINCT length, own FROM items) l)
 ), matches AS (
-  SELECT d.doc_id, d.text, i.item_id, i.item_text, place - item_at AS shift, item_at, place, i.length, windows, w, i.raw AS item_raw, d.raw AS doc_raw
-  FROM doc_windows d JOIN item_windows i ON d.key = i.key AND d.length = i.length
+  SELECT dense_rank() OVER (ORDER BY d.doc_id, d.text, i.item_id, i.item_text, place - item_at) AS reading,
+    d.doc_id, d.text, i.item_id, i.item_text, place - item_at AS shift, item_at, place, i.length, windows, i.w, i.raw AS item_raw,
+    d.raw AS doc_raw, i.raw[item_at + 1:item_at + i.length] = d.raw[place + 1:place + i.length] AS exact
+  FROM doc_windows d JOIN item_windows i ON d.key = i.key AND d.length = i.length AND d.own = i.own
+  -- An item is read with a name for its first word just where the document has one.
+  WHERE as_name = (place >= item_at AND coalesce(d.w[place - item_at + 1], '') = '{NAME}'
+    AND EXISTS (FROM items n WHERE n.named AND n.item_id IS NOT DISTINCT FROM i.item_id AND n.text = i.item_text))
 ), slots AS (
-  SELECT DISTINCT doc_id, text, item_id, item_text, shift, kind, item_value, doc_value FROM (
-    SELECT doc_id, text, item_id, item_text, shift, w[item_at + k] AS kind, item_raw[item_at + k] AS item_value, doc_raw[place + k] AS doc_value
-    FROM (SELECT *, unnest(range(1, length + 1)) AS k FROM matches)
-  ) WHERE kind IN ('{NAME}', '{NUMBER}', '{UNIT}')
-), readings AS (
-  SELECT doc_id, text, item_id, item_text, shift, count(*) = count(DISTINCT (kind, item_value)) AS consistent,
-    bool_and(item_value = doc_value) AS same FROM slots GROUP BY ALL
+  SELECT reading, item_at, w[item_at + k] AS kind, item_raw[item_at + k] AS item_value, doc_raw[place + k] AS doc_value,
+    CASE WHEN w[item_at + k] = '{NUMBER}' THEN coalesce(item_raw[item_at + k + 1], '') ELSE '' END AS beside
+  FROM (SELECT *, unnest(range(1, length + 1)) AS k FROM matches) WHERE w[item_at + k] IN {_KINDS}
+), torn AS (
+  SELECT reading, kind, item_value, beside FROM slots GROUP BY ALL HAVING count(DISTINCT doc_value) > 1
+), odd AS (
+  SELECT DISTINCT s.reading, s.item_at FROM slots s JOIN torn t
+    ON s.reading = t.reading AND s.kind = t.kind AND s.item_value = t.item_value AND s.beside = t.beside
+), fits AS (
+  SELECT m.* FROM matches m LEFT JOIN odd o ON m.reading = o.reading AND m.item_at = o.item_at WHERE exact OR o.reading IS NULL
+), same AS (
+  SELECT f.reading, coalesce(bool_and(item_value = doc_value), true) AS same
+  FROM fits f LEFT JOIN slots s ON f.reading = s.reading AND f.item_at = s.item_at GROUP BY f.reading
+), quoted AS (
+  SELECT DISTINCT reading FROM (
+    SELECT reading, item_at - row_number() OVER (PARTITION BY reading ORDER BY item_at) AS island FROM fits WHERE exact
+  ) GROUP BY reading, island HAVING count(*) >= {max(1, RUN - WINDOW + 1)}
 ), counted AS (
-  SELECT m.doc_id, m.text, m.item_id, m.item_text, count(DISTINCT item_at) AS n_windows, max(windows) AS item_windows,
-    min(place) AS first_word, bool_and(coalesce(r.same, true)) AS same_values
-  FROM matches m LEFT JOIN readings r ON m.doc_id IS NOT DISTINCT FROM r.doc_id AND m.text = r.text
-    AND m.item_id IS NOT DISTINCT FROM r.item_id AND m.item_text = r.item_text AND m.shift = r.shift
-  WHERE coalesce(r.consistent, true) GROUP BY ALL
+  SELECT f.doc_id, f.text, f.item_id, f.item_text, count(DISTINCT item_at) AS n_windows, max(windows) AS item_windows,
+    min(place) AS first_word, bool_and(s.same) AS same_values, bool_or(q.reading IS NOT NULL) AS quoted
+  FROM fits f JOIN same s ON f.reading = s.reading LEFT JOIN quoted q ON f.reading = q.reading
+  GROUP BY f.doc_id, f.text, f.item_id, f.item_text
 )
 SELECT doc_id, item_id, n_windows, item_windows, first_word, same_values
-FROM counted WHERE n_windows >= ceil(item_windows * {SHARE}::DOUBLE)
+FROM counted WHERE quoted OR n_windows >= ceil(item_windows * {SHARE}::DOUBLE)
 """
