@@ -60,9 +60,9 @@ def _windows(hashes: Column, length: int) -> Column:
     return F.transform(at, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in range(length))))
 
 
-def _plain(words: Column, at: Column, length: Column | int) -> Column:
+def _plain(words: Column, at: Column, length: Column) -> Column:
     """Whether the window at a place has a word that is no placeholder."""
-    return F.exists(F.slice(words, at + 1, F.lit(length) if isinstance(length, int) else length), lambda w: ~w.isin(NAME, NUMBER, UNIT))
+    return F.exists(F.slice(words, at + 1, length), lambda w: ~w.isin(NAME, NUMBER, UNIT))
 
 
 def _items(benchmark: DataFrame, window: int) -> DataFrame:
