@@ -114,3 +114,25 @@ def test_rows_of_one_id_with_equal_checksums_are_told_apart(docs):
     assert got(docs(*rows), 13) == plain(rows, 13)
     rows = [(1, a), (7, a), (7, b), (7, b)]
     assert got(docs(*rows), 13) == plain(rows, 13)
+
+
+def test_windows_of_a_phrase_in_a_third_of_all_rows_are_dealt_out(docs, monkeypatch):
+    """A seed that many different windows share is hot; its windows get seeds of their own, the same for equal ones."""
+    phrase = "alpha beta gamma delta epsilon zeta"
+    rows = [(i, f"u{i % 40} v{i % 7} a{i} b{i % 5} {phrase} c{i % 3} d{i % 40} e{i % 2} f f f f g{i % 4}") for i in range(300)]
+    rows += [(1000 + i, " ".join(f"x{i}y{k}" for k in range(30))) for i in range(600)]
+    table = docs(*rows).repartition(4)
+    texts = table.select(S.F.col("text").cast("binary").alias("text"))
+    assert len(hot := S.hot_seeds(texts, 13)) and len(hot) <= S.HOT_SHARE
+    hashes = X.word_hashes(rows[0][1].encode().split())
+    with S.np.errstate(over="ignore"):
+        seeds, _ = S._windows_of(hashes, 13, hot)
+        plain_seeds, _ = S._windows_of(hashes, 13, hot[:0])
+    spread = {int(s) for s, p in zip(seeds, plain_seeds) if p in hot}
+    assert len(spread) > len({int(p) for p in plain_seeds if p in hot})
+    assert got(table, 13) == plain(rows, 13)
+
+
+def test_only_repeated_ids_carry_a_hash_of_the_text(docs):
+    found = S._with_rows(docs((1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, None), (S.LAST - 1, "e"))).collect()
+    assert {r.doc_id for r in found if r.row} == {2, None} and len({r.row for r in found}) == 5
