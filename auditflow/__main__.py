@@ -17,6 +17,7 @@ from auditflow.operators.rules import ReportRules
 from auditflow.session import build_session
 from auditflow.sources.dimension import AreaDimension
 from auditflow.sources.streams import raw_stream
+from auditflow.sources.versions import DimensionLog
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.jobs import EVERY_MINUTE, clean_job, native_job, report_job
 from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
@@ -49,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     clean.add_argument("--areas", nargs="+", required=True, help="format and options of the table")
     clean.add_argument("--refresh-seconds", type=float, default=30.0)
     clean.add_argument("--areas-optional", action="store_true", help="start without a readable table")
+    clean.add_argument("--areas-log", help="folder of versions, so that a replay sees the areas of its first run")
     clean.add_argument("--pieces", type=int, help="deal each micro-batch out over so many tasks")
     clean.add_argument("--sink", nargs="+", required=True, help="cleaned and unusable records")
     clean.add_argument("--on-missing", choices=["null", "fail"], default="null")
@@ -87,6 +89,8 @@ def start(spark: SparkSession, argv: list[str] | None = None) -> StreamingQuery:
             path=f"{args.checkpoint.rstrip('/')}-areas",
             optional=args.areas_optional,
         )
+        if args.areas_log:
+            dimension = DimensionLog(dimension, args.areas_log)
         return clean_job(
             raw, dimension, _sink(args.sink, split_by="kind"), args.checkpoint,
             args.on_missing, args.item_type, trigger, args.pieces,

@@ -56,6 +56,10 @@ class AreaDimension:
             return no_rows(spark, CODES_SCHEMA)
         return self._stored(spark, self._slot)
 
+    def for_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The newest snapshot; a replayed batch may see a newer one (see ``DimensionLog``)."""
+        return self.current(spark)
+
     def _reload(self, spark: SparkSession) -> None:
         if not self._slots:
             # Two places in turn: the snapshot in force is never overwritten.

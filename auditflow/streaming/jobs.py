@@ -12,6 +12,7 @@ from auditflow.operators.partitioning import spread
 from auditflow.operators.reporting import parse_audit, usable
 from auditflow.operators.rules import ReportRules
 from auditflow.sources.dimension import AreaDimension
+from auditflow.sources.versions import DimensionLog
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.sinks import ConnectorSink, FolderSink
 
@@ -21,7 +22,7 @@ EVERY_MINUTE = {"processingTime": "60 seconds"}
 
 def clean_job(
     raw: DataFrame,
-    dimension: AreaDimension,
+    dimension: AreaDimension | DimensionLog,
     sink: FolderSink | ConnectorSink,
     checkpoint: str,
     on_missing: str = "null",
@@ -31,6 +32,8 @@ def clean_job(
 ) -> StreamingQuery:
     """Clean a stream of messages; the dimension is looked up anew for each micro-batch.
 
+    With a ``DimensionLog`` a replayed micro-batch sees the snapshot of its first run.
+
     ``pieces`` deals each micro-batch out over so many tasks, see ``spread``.
 
     ``sink`` receives ``kind, value`` in one pass over the input: cleaned records under ``clean``,
@@ -38,7 +41,7 @@ def clean_job(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        codes = dimension.current(batch.sparkSession)
+        codes = dimension.for_batch(batch.sparkSession, batch_id)
         sink.write(cleaned_records(spread(batch, pieces), codes, on_missing, item_type), batch_id)
 
     return (
