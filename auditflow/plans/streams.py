@@ -54,9 +54,10 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.messages_from(_as_stream(spark, sf_dir, "lineitem"), spark, sf_dir)
     dimension = AreaDimension(lambda session: tables.areas(session, sf_dir))
     out = workspace(spark, "clean")
+    pieces = spark.conf.get(tables.PIECES, None)
     clean_job(
         raw.select("value"), dimension, FolderSink(out, split_by="kind"),
-        workspace(spark, "checkpoint"), trigger=DRAIN,
+        workspace(spark, "checkpoint"), trigger=DRAIN, pieces=int(pieces) if pieces else None,
     ).awaitTermination()
     return _cleaned(spark, out)
 

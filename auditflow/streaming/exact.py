@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auditflow.operators.lateness import is_too_late
@@ -20,12 +21,19 @@ from auditflow.session import no_rows, one_row
 from auditflow.streaming.runs import claim
 from auditflow.streaming.sinks import ConnectorSink, DocumentSink, FolderSink
 
+# Kinds of rows that are set aside.
+ASIDE = ("late", "malformed", "bad_time", "no_key")
+
 _STATE_SCHEMA = (
     "kind string, window_start_ms bigint, type string, area string, "
     "count bigint, max_ms bigint, touched boolean, batch_id bigint"
 )
 
 
+def _total(number: Column) -> Column:
+    return F.coalesce(F.sum(number), F.lit(0)).cast("bigint")
+
+
 @dataclass
 class ExactReport:
     """``foreachBatch`` function of the report.
@@ -35,17 +43,23 @@ class ExactReport:
     reads only the state its predecessor left and writes its own outputs by overwriting, state
     last, so a batch that is replayed after a failure leaves the same result. State lives in two
     places in turn and holds open panes, not events; every micro-batch writes all open panes anew.
-    Two numbers reach the driver. State that another run left in the same place is refused.
+    A few numbers reach the driver, observed while the counts are written, without another reading.
+    State that another run left in the same place is refused.
 
     ``emissions`` receives ``window_start_ms, type, area, count, max_ms`` for every firing and
     refiring; ``side`` receives ``kind, value``: too-late rows as tab-joined lines under ``late``,
     and unusable rows with their raw text under ``malformed``, ``bad_time`` and ``no_key``.
+
+    ``watch`` is called after each batch with its numbers: ``batch_id``, the rows of each kind set
+    aside, panes that ``fired`` first and ``refired``, ``max_ms`` (latest time seen so far) and
+    ``watermark_ms``. A replayed batch calls it again.
     """
 
     state_path: str
     emissions: FolderSink | ConnectorSink | DocumentSink
     side: FolderSink | ConnectorSink
     rules: ReportRules = ReportRules()
+    watch: Callable[[dict[str, int | None]], None] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -68,21 +82,26 @@ class ExactReport:
                 F.max("touched").alias("touched"),
             )
         )
+        told = Observation()
+        merged = merged.observe(
+            told,
+            F.max(F.when(F.col("kind").isin("pane", "late"), F.col("max_ms"))).alias("max_ms"),
+            *(_total(F.when(F.col("kind") == k, F.col("count"))).alias(k) for k in ASIDE),
+        )
         merged = self._stored(spark, merged, f"{self.state_path}/merged")
-
-        seen_now, aside = merged.agg(
-            F.max(F.when(F.col("kind").isin("pane", "late"), F.col("max_ms"))),
-            F.coalesce(F.sum(F.when(F.col("kind") != "pane", F.col("count"))), F.lit(0)),
-        ).first()
+        seen_now, aside = told.get["max_ms"], {k: told.get[k] for k in ASIDE}
         # Held panes are no newer than what was seen before, so they do not move the maximum.
         seen = max((m for m in (seen_before, seen_now) if m is not None), default=None)
 
         panes = merged.where("kind = 'pane'").select(*PANE_KEY, "count", "max_ms", "touched")
-        self._emit(panes, seen_before, seen, batch_id)
+        fired = self._emit(panes, seen_before, seen, batch_id)
         # A second reading of the batch, without a shuffle, and only where there is something to write.
-        away = rows.where("kind <> 'pane'") if aside else rows.where("false")
+        away = rows.where("kind <> 'pane'") if any(aside.values()) else rows.where("false")
         self._set_aside(away.select("kind", "value"), batch_id)
         self._hold(spark, panes, seen, batch_id)
+        if self.watch:
+            wm = self._watermark(seen)
+            self.watch({"batch_id": batch_id, **aside, **fired.get, "max_ms": seen, "watermark_ms": wm})
 
     def _watermark(self, seen: int | None) -> int | None:
         return None if seen is None else max(seen, 0) - self.rules.delay_ms
@@ -104,14 +123,20 @@ class ExactReport:
 
     def _emit(
         self, panes: DataFrame, seen_before: int | None, seen: int | None, batch_id: int
-    ) -> None:
-        """Panes that fire now, and panes that fired before and got new rows."""
+    ) -> Observation:
+        """Panes that fire now, and panes that fired before and got new rows; their numbers."""
         last = window_last(F.col("window_start_ms"), self.rules)
         before, after = self._watermark(seen_before), self._watermark(seen)
         passed = F.lit(False) if after is None else last <= after
         first_time = F.lit(True) if before is None else last > before
         fired = panes.where(passed & (F.col("touched") | first_time))
+        told = Observation()
+        if self.watch:
+            fired = fired.observe(
+                told, _total(first_time.cast("int")).alias("fired"), _total((~first_time).cast("int")).alias("refired")
+            )
         self.emissions.write(fired.select(*PANE_KEY, "count", "max_ms"), batch_id)
+        return told
 
     def _set_aside(self, away: DataFrame, batch_id: int) -> None:
         """Late and unusable rows, each as often as it came."""

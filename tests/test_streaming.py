@@ -66,6 +66,27 @@ def test_golden_case_as_a_stream(spark, tmp_path):
     expect_golden(feed)
 
 
+def test_numbers_of_each_batch_are_handed_out(spark, tmp_path):
+    feed, seen = Feed(spark, tmp_path), []
+    feed.report.watch = seen.append
+    for times in golden.BATCHES:
+        feed.land(*map(golden.message, times), "{bad", "{bad")
+        feed.run()
+    expect = feed.emissions()
+    assert [m["batch_id"] for m in seen] == list(range(len(golden.BATCHES)))
+    assert all((m["malformed"], m["bad_time"], m["no_key"]) == (2, 0, 0) for m in seen)
+    assert [m["late"] for m in seen] == [int(m["batch_id"] == golden.LATE[0]) for m in seen]
+    first = {}
+    for batch, *pane in expect:
+        first.setdefault(tuple(pane[:3]), batch)
+    for m in seen:
+        mine = [(b, *rest) for b, *rest in expect if b == m["batch_id"]]
+        assert m["fired"] == sum(first[tuple(p[1:4])] == m["batch_id"] for p in mine)
+        assert m["refired"] == len(mine) - m["fired"]
+    assert sum(m["refired"] for m in seen) > 0
+    assert all(m["watermark_ms"] == m["max_ms"] - ReportRules().delay_ms for m in seen)
+
+
 class FailsAtEachStep(ExactReport):
     """Fails once in every batch, each time one step later."""
 
