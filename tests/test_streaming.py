@@ -15,6 +15,7 @@ from auditflow.sources.dimension import AreaDimension
 from auditflow.sources.streams import raw_stream
 from auditflow.streaming.exact import ExactReport
 from auditflow.streaming.jobs import clean_job, native_job, report_job
+from auditflow.streaming.replay import replay
 from auditflow.streaming.sinks import ConnectorSink, FolderSink
 
 DRAIN = {"availableNow": True}
@@ -314,3 +315,20 @@ def test_native_report_in_order(spark, tmp_path):
         (golden.ms("00:00:00"), "a", "X", 3, "2024-01-01 00:00:59"),
         (golden.ms("00:01:00"), "a", "X", 1, "2024-01-01 00:01:05"),
     ]
+
+
+def test_a_replayed_batch_lands_in_equal_files(spark, tmp_path):
+    sizes = []
+
+    def start(raw):
+        def count(batch, _):
+            found = batch.groupBy(F.input_file_name()).count().collect()
+            sizes.append(sorted(r["count"] for r in found))
+
+        return raw.writeStream.foreachBatch(count).option("checkpointLocation", f"{tmp_path}/cp").trigger(**DRAIN).start()
+
+    one_piece = [spark.range(0, 4000, 1, 1), spark.range(0, 400, 1, 1)]
+    replay(spark, [b.selectExpr("cast(id as string) as value") for b in one_piece], start)
+    cores = spark.sparkContext.defaultParallelism
+    assert [(len(s), sum(s)) for s in sizes] == [(cores, 4000), (cores, 400)]
+    assert all(max(s) - min(s) <= 1 for s in sizes)
