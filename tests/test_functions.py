@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from auditflow.functions.json import merge_objects, without_keys
+from auditflow.functions.json import as_written, merge_objects, without_keys
 from auditflow.functions.text import split_codes, tab_line
 from auditflow.functions.times import format_time, parse_time_ms
 
@@ -105,3 +105,16 @@ def test_without_keys(spark):
     item = F.parse_json("v")
     got = [r[0] for r in df.select(F.to_json(without_keys(item, "a"))).collect()]
     assert got == ['{"c":{"a":2}}', None]
+
+
+def test_marked_literals_come_out_as_written(spark):
+    m = "\ue000"
+    expected = {
+        f'{{"a":"{m}1.50","b":["{m}null","{m}2"]}}': '{"a":1.50,"b":[null,2]}',
+        f'{{"a":"say \\"{m}1\\"","b":"{m}2"}}': f'{{"a":"say \\"{m}1\\"","b":2}}',
+        f'{{"a":"{m}{m}x","b":"{m}2"}}': f'{{"a":"{m}x","b":2}}',
+        f'{{"{m}5":"{m}1"}}': f'{{"{m}5":1}}',
+        f'"{m}1"': "1", f'"{m}{m}1"': f'"{m}1"', '{"a":1}': '{"a":1}',
+    }
+    df = spark.createDataFrame([(t,) for t in expected], "t string")
+    assert {r.t: r.o for r in df.select("t", as_written(F.col("t")).alias("o")).collect()} == expected
