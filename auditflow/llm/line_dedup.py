@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,19 @@ from auditflow.session import stage
 
 SIMILARITY = 0.8
 # Rarity is known per bucket of words, in steps of a third of a power of two.
-BUCKETS = 1 << 19
+BUCKETS = 1 << 18
 BLANKS = " \t\n\x0b\x0c\r"
 LAST = (1 << 63) - 1
 _TINY = 1e-9
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.btrim(line, F.lit(BLANKS)), r"[\x20\x09-\x0D]+")
+    """The words of a line that is not blank; most lines can be split at a plain character, without a pattern."""
+    several = F.lit(False)
+    for blanks in ("  ", *BLANKS.strip(" ")):
+        several = several | F.contains(line, F.lit(blanks))
+    trimmed = F.btrim(line, F.lit(BLANKS))
+    return F.when(several, F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(F.split(trimmed, " "))
 
 
 def _blank(line: Column) -> Column:
@@ -27,31 +33,33 @@ def _blank(line: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> DataFrame:
-    """One row, ``ranks array<tinyint>``: how frequent the words of each bucket are in the whole table.
+    """One row, ``ranks array<bigint>``: how frequent the words of each bucket are in the whole table.
 
     Words are dealt to a fixed number of buckets, so each task sends that many counts at most, and the
-    row has a fixed size of one byte for each. Any fixed order of words gives the same join; a better
-    one only gives fewer candidates.
+    row has a fixed size of eight bytes for each; a rank stands above the 55 bits that a key has of the
+    hash. Any fixed order of words gives the same join; a better one only gives fewer candidates.
     """
-    bucket = F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("b")
-    words = docs.select(F.explode(_words(F.coalesce("text", F.lit("")))).alias("w")).select(bucket)
-    counts = words.groupBy("b").agg(F.count("*").alias("n"))
+    lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
+    words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
+    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
     none = docs.sparkSession.range(0, BUCKETS, 1, 1).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("n"))
     dense = counts.union(none).groupBy("b").agg(F.max("n").alias("n"))
-    step = F.least(F.lit(127), F.floor(F.log2(F.col("n") + 1) * 3)).cast("tinyint").alias("step")
-    packed = dense.select(F.struct("b", step).alias("s")).agg(F.array_sort(F.collect_list("s")).alias("a"))
-    return packed.select(F.col("a.step").alias("ranks"))
+    step = F.least(F.lit(127), F.floor(F.log2(F.col("n") + 1) * 3)).cast("long")
+    packed = dense.select(F.struct("b", F.shiftleft(step, 55).alias("rank")).alias("s")).agg(F.array_sort(F.collect_list("s")).alias("a"))
+    return packed.select(F.col("a.rank").alias("ranks"))
 
 
-def _keys(line: Column, ranks: Column) -> Column:
-    """The set of a line's words as numbers that rise with frequency: a rank above 55 bits of a hash."""
+def _bucket(code: Column) -> Column:
+    return code.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
-    def key(word: Column) -> Column:
-        code = F.xxhash64(word)
-        rank = F.element_at(ranks, F.pmod(code, F.lit(BUCKETS)).cast("int") + 1).cast("long")
-        return F.shiftleft(rank, 55).bitwiseOR(F.shiftrightunsigned(code, 9))
 
-    return F.sort_array(F.array_distinct(F.transform(_words(line), key)))
+def _keys(line: Column, ranks: Column) -> Column:
+    """The set of a line's words as numbers that rise with frequency: a rank above 55 bits of a hash."""
+    codes = F.transform(_words(line), lambda word: F.xxhash64(word))
+    # Without the null that a lookup may give, Spark sorts plain numbers.
+    rank = lambda code: F.coalesce(F.get(ranks, _bucket(code)), F.lit(0).cast("long"))
+    keys = F.transform(codes, lambda code: rank(code).bitwiseOR(F.shiftrightunsigned(code, 9)))
+    return F.sort_array(F.array_distinct(keys))
 
 
 def _parity(keys: Column, part: int, parts: int) -> Column:
@@ -73,6 +81,19 @@ def _parities(names: tuple[str, ...]) -> list[Column]:
     return [_parity(F.col("keys"), i, len(names)).alias(name) for i, name in enumerate(names)]
 
 
+def _with_two_parities(lines: DataFrame) -> DataFrame:
+    """``lines`` with the columns ``TWO``, as ``_parities`` gives them, without an array for each."""
+
+    def parity(bit: Callable[[Column], Column]) -> Column:
+        one = lambda k: F.call_function("shiftleft", bit(k), k.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        return F.aggregate("keys", F.lit(0).cast("long"), lambda bits, k: bits.bitwiseXOR(one(k)))
+
+    both = parity(lambda k: F.lit(1).cast("long"))
+    odd = parity(lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(1).cast("long")))
+    found = lines.select("*", both.alias("both"), odd.alias("odd"))
+    return found.select(*lines.columns, F.col("both").bitwiseXOR(F.col("odd")).alias("even"), "odd")
+
+
 def _ruled_out(names: tuple[str, ...], similarity: float) -> Column:
     """Whether the parities of ``a`` and ``b`` differ in more words than similar lines can."""
     different = [F.bit_count(F.col(f"a.{c}").bitwiseXOR(F.col(f"b.{c}"))) for c in names]
@@ -84,7 +105,7 @@ def _described(lines: DataFrame, ranks: Column, similarity: float) -> DataFrame:
     others = [c for c in lines.columns if c != "line"]
     # The ranks are one value for the whole query; the optimizer puts them straight into the lookup.
     keyed = lines.select("*", ranks.alias("ranks")).select(*others, _keys(F.col("line"), F.col("ranks")).alias("keys"))
-    sized = keyed.select("*", F.size("keys").alias("n"), *_parities(TWO))
+    sized = _with_two_parities(keyed.select("*", F.size("keys").alias("n")))
     first = F.col("n") - F.ceil(F.col("n") * similarity - _TINY).cast("int") + 1
     return sized.select("*", F.slice("keys", 1, first).alias("prefix"))
 
@@ -165,13 +186,14 @@ def _likeliest(entries: DataFrame) -> DataFrame:
 def _later(postings: DataFrame, others: DataFrame, similarity: float) -> DataFrame:
     """Pairs of a line and an earlier one that share a prefix word and pass the filters.
 
-    A pair comes out once, for the first word that the prefixes share.
+    A pair is found for the first word of each run that the prefixes share. Postings carry the word
+    before for that; with the whole prefix, to tell the first word of all, they would be twice as large.
     """
     a, b = postings.alias("a"), others.alias("b")
     earlier = F.struct("b.doc", "b.place") < F.struct("a.doc", "a.place")
-    once = F.element_at(F.array_intersect("a.prefix", "b.prefix"), 1) == F.col("a.word")
-    joined = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & _may_match(similarity, FOUR) & once)
-    return joined.select("a.doc", "a.place", F.col("b.doc").alias("e_doc"), F.col("b.place").alias("e_place"))
+    starts = F.coalesce(F.col("a.before") != F.col("b.before"), F.lit(True))
+    joined = a.join(b, (F.col("a.word") == F.col("b.word")) & earlier & _may_match(similarity, FOUR) & starts)
+    return joined.select("a.doc", "a.place", F.col("b.doc").alias("e_doc"), F.col("b.place").alias("e_place")).distinct()
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -206,7 +228,9 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     known = _stored(described.select("*", *_parities(FOUR)), "line-known")
     # First each line against its likeliest partner: this settles groups of near copies with one pair
     # per line. Then what is left against all earlier lines.
-    entries = _stored(_postings(known, similarity, FOUR, "doc", "place", "prefix"), "line-entries")
+    entries = _postings(known, similarity, FOUR, "doc", "place", "prefix")
+    before = F.get("prefix", F.col("pos") - 1).alias("before")
+    entries = _stored(entries.select("doc", "place", "n", *FOUR, "pos", "word", before), "line-entries")
     likeliest = _stored(_plausible(_likeliest(entries), known, similarity), "line-likeliest")
     settled = _stored(_verified(likeliest, known, similarity), "line-settled")
     left = entries.join(settled, ["doc", "place"], "left_anti")

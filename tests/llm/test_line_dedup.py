@@ -90,3 +90,35 @@ def test_rows_of_one_id_with_equal_checksums_are_told_apart(docs):
     a, b = (" ".join(f"q{i}x{j}" for j in range(14)) for i in (7392, 24198))
     found = L.line_dedup(docs((1, a), (None, a), (None, b), (3, a), (3, b))).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in found) == [("1", 0), ("3", 0), ("3", 1), ("None", 1), ("None", 1)]
+
+
+def test_postings_carry_no_lists_of_words(docs, monkeypatch):
+    kinds, stage = {}, L.stage
+    monkeypatch.setattr(L, "stage", lambda df, name: (kinds.update({name: [kind for _, kind in df.dtypes]}), stage(df, name))[1])
+    rows = texts(60, 5)
+    assert got(docs(*rows)) == plain(rows)
+    assert not any(kind.startswith("array") for kind in kinds["line-entries"] + kinds["line-pairs"])
+
+
+BLANKS = (" ", "  ", "\t", "\r", "\x0b", "\x0c", " \t ", "\x0c\x0b")
+
+
+def test_lines_with_any_blanks_have_the_same_words(docs):
+    words = ["one", "two", "three", " four", "five\x85", "six", "seven", "eight"]
+    rows = [(1, " ".join(words)), *((i, blank + blank.join(words) + blank) for i, blank in enumerate(BLANKS, 2))]
+    rows += [(100, "\n".join(blank.join(words[1:]) + " nine" for blank in BLANKS)), (101, "\t".join(words[:5])), (102, " \r\n" + " ".join(words[:5]) + " ")]
+    assert got(docs(*rows)) == plain(rows)
+
+
+def test_a_pair_that_shares_several_rare_words_is_found_once(docs, spark):
+    a, b = (" ".join(f"v{j}" for j in range(k, k + 60)) for k in (0, 3))
+    prefixes = {1: [10, 11, 12, 20, 21, 30, 31], 2: [10, 11, 13, 20, 21, 30, 32]}
+    described = [
+        (i, i, 60, 0, 0, 0, 0, pos, word, words[pos - 1] if pos else None) for i, words in prefixes.items() for pos, word in enumerate(words)
+    ]
+    postings = spark.createDataFrame(
+        described, "doc long, place long, n int, bits0 long, bits1 long, bits2 long, bits3 long, pos int, word long, before long"
+    )
+    found = L._later(postings, postings, L.SIMILARITY).collect()
+    assert [(r.doc, r.place, r.e_doc, r.e_place) for r in found] == [(2, 2, 1, 1)]
+    assert got(docs((1, a), (2, b))) == plain([(1, a), (2, b)])
