@@ -14,14 +14,18 @@ LENIENT_JSON = {
 
 # Stands before numbers and nulls that are carried as strings; a private-use character.
 _MARK = "\ue000"
+# A mark of one byte: Java holds a text of such characters in half the memory and searches it faster.
+# No name without quotes holds it.
+BYTE_MARK = "~"
 
 # A JSON text in pieces: strings, names without quotes, and what stands between values.
 _NULL = r"null(?![\w$])"
-_STRING = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
+# Java runs through one class of characters in a tight loop only where the loop is not a possessive one.
+_STRING = r'"[^"\\]*(?:\\[\s\S][^"\\]*)*+"'
 _BETWEEN = r"[^\"'\w$+\-]"
 # A string and what follows it are one step, which halves the steps.
 _OTHER = (
-    rf"(?:{_STRING}{_BETWEEN}*+|{_BETWEEN}++" r"|'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'"
+    rf"(?:{_STRING}[,:{{}}\[\]\s]*|{_BETWEEN}++" r"|'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'"
     rf"|(?!{_NULL})[A-Za-z_$][\w$]*+|[+\-](?![0-9]))*+"
 )
 _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+(?![\w.+-])"
@@ -47,7 +51,7 @@ def one_object(text: Column, fields: str) -> Column:
     return F.get(F.transform(F.array(found), lambda all_: F.when(ends(all_), first(all_))), 0)
 
 
-def with_literals_as_text(text: Column) -> Column:
+def with_literals_as_text(text: Column, mark: str = _MARK) -> Column:
     """JSON text whose numbers and nulls are strings that begin with a mark.
 
     A parser keeps strings as they are, so every number comes out as it was written, whatever its
@@ -55,38 +59,43 @@ def with_literals_as_text(text: Column) -> Column:
     the mark themselves get another one. Texts without fractions, exponents, long numbers and nulls
     stay as they are. What is no valid number is left for the parser to refuse.
     """
-    begins = f"([\"'])(?={_MARK}|\\\\u[eE]000)"
+    escaped = "".join(f"[{c}{c.upper()}]" for c in f"{ord(mark):04x}")
+    # A quote that is written as an escape comes out as one, too.
+    begins = rf"([\"']|(?<!\\)(?:\\\\)*+\\u002[27])(?={mark}|\\u{escaped})"
     # Plain searches first: they cost far less than a pattern that looks at every quote.
-    may_begin = text.contains(_MARK) | text.contains("\\u")
-    marked = F.when(may_begin, F.regexp_replace(text, begins, f"$1{_MARK}")).otherwise(text)
-    return F.when(text.rlike(_AT_RISK), F.regexp_replace(marked, _LITERAL, f'$1"{_MARK}$2"')).otherwise(marked)
+    may_begin = text.contains(mark) | text.contains("\\u")
+    marked = F.when(may_begin, F.regexp_replace(text, begins, f"$1{mark}")).otherwise(text)
+    return F.when(text.rlike(_AT_RISK), F.regexp_replace(marked, _LITERAL, f'$1"{mark}$2"')).otherwise(marked)
 
 
-def as_written(text: Column) -> Column:
+def as_written(text: Column, mark: str = _MARK) -> Column:
     """JSON text without blanks made from ``with_literals_as_text``: numbers and nulls as they were."""
     # What stands before a literal is looked at behind its mark, not at every place of the text.
-    plain = F.regexp_replace(text, f'"{_MARK}(?<![^\\[,:]"{_MARK})([^"{_MARK}]*+)"', "$1")
-    unmarked = F.regexp_replace(plain, f"([\"']){_MARK}{_MARK}", f"$1{_MARK}")
-    return F.when(text.contains(_MARK * 2), unmarked).when(text.contains(_MARK), plain).otherwise(text)
+    plain = F.regexp_replace(text, f'"{mark}(?<![^\\[,:]"{mark})([^"{mark}]*)"', "$1")
+    return F.when(text.contains(mark * 2), _once_marked(plain, mark)).when(text.contains(mark), plain).otherwise(text)
 
 
-def scalar_as_written(text: Column) -> Column:
+def _once_marked(text: Column, mark: str) -> Column:
+    return F.regexp_replace(text, f"([\"']){mark}{mark}", f"$1{mark}")
+
+
+def scalar_as_written(text: Column, mark: str = _MARK) -> Column:
     """The text of a member read as a string from ``with_literals_as_text``; null for null."""
     own = F.substring(text, F.lit(2), F.length(text) - 1)
-    scalar = F.when(own != "null", own)
-    return F.when(F.startswith(text, F.lit(_MARK)), scalar).otherwise(as_written(text))
+    scalar = F.when(own != "null", F.when(own.contains(mark * 2), _once_marked(own, mark)).otherwise(own))
+    return F.when(F.startswith(text, F.lit(mark)), scalar).otherwise(as_written(text, mark))
 
 
-def without_null_members(text: Column) -> Column:
+def without_null_members(text: Column, mark: str = _MARK) -> Column:
     """JSON text made from ``with_literals_as_text``, less the members that are null, at every depth.
 
     Array elements stay. A null is a string no other text can be, and no unescaped quote but that of
     its name stands before it.
     """
-    null = f'{_STRING}:"{_MARK}null"'
+    null = f'{_STRING}:"{mark}null"'
     followed = F.regexp_replace(text, f",{null}", "")
     plain = F.regexp_replace(followed, r"\{" + f"{null},?", "{")
-    return F.when(text.contains(f':"{_MARK}null"'), plain).otherwise(text)
+    return F.when(text.contains(f':"{mark}null"'), plain).otherwise(text)
 
 
 def without_keys(item: Column, *keys: str) -> Column:
@@ -100,12 +109,21 @@ def without_keys(item: Column, *keys: str) -> Column:
 
 def merge_objects(left: Column, right: Column) -> Column:
     """The members of two objects without common keys, both written without blanks."""
-    return (
-        F.when(left == "{}", right)
-        .when(right == "{}", left)
-        .otherwise(F.concat(F.lit("{"), _members(left), F.lit(","), _members(right), F.lit("}")))
-    )
+    return continued(opened(left), right)
+
 
+def opened(text: Column) -> Column:
+    """An object written without blanks, less its last brace."""
+    return F.substring(text, F.lit(1), F.length(text) - 1)
 
-def _members(text: Column) -> Column:
-    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+def continued(head: Column, right: Column) -> Column:
+    """The object that ``head`` opens (see ``opened``) with the members of another one put behind.
+
+    The other one's first brace goes by trimming: no text starts with two, and none is counted through.
+    """
+    return (
+        F.when(head == "{", right)
+        .when(right == "{}", F.concat(head, F.lit("}")))
+        .otherwise(F.concat(head, F.lit(","), F.ltrim(right, F.lit("{"))))
+    )

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from auditflow.functions.evaluate import with_once
 from auditflow.functions.json import (
+    BYTE_MARK,
     as_written,
-    merge_objects,
+    continued,
     one_object,
+    opened,
     scalar_as_written,
     with_literals_as_text,
     without_keys,
@@ -34,8 +36,8 @@ def parse_messages(df: DataFrame, item_type: str | None = None) -> DataFrame:
     if item_type:
         parsed = with_once(df, "_m", one_object(F.col("value"), schema))
     else:
-        as_text = lambda name: scalar_as_written(F.col(f"_m.{name}"))
-        marked = with_once(df, "_text", with_literals_as_text(F.col("value")))
+        as_text = lambda name: scalar_as_written(F.col(f"_m.{name}"), BYTE_MARK)
+        marked = with_once(df, "_text", with_literals_as_text(F.col("value"), BYTE_MARK))
         parsed = with_once(marked, "_m", one_object(F.col("_text"), schema))
     problem = F.when(F.col("_m").isNull(), "malformed").when(F.col("_m.data").isNull(), "no_data")
     checked = parsed.withColumn("problem", problem)
@@ -85,17 +87,21 @@ def cleaned_records(
     at every depth. Messages with a problem come out whole under its name, elements that are no objects under
     ``bad_item``.
     """
-    rows = explode_items(enrich(parse_messages(df, item_type), codes, on_missing))
+    rows = enrich(parse_messages(df, item_type), codes, on_missing)
     item, area, dt = F.col("item"), F.col("area"), F.col("dt")
     if item_type:
+        rows = explode_items(rows)
         no_object = item.isNull()
         text = F.to_json(item.withField("area", area).withField("dt", dt))
     else:
+        # Written once for all items of a message.
+        rows = with_once(rows, "_new", F.to_json(F.struct(area, dt)))
+        rows = explode_items(with_once(rows, "_head", opened(F.col("_new"))).drop("area", "dt", "_new"))
         rows = with_once(rows, "_marked", F.to_json(without_keys(item, "area", "dt")))
-        rows = with_once(rows, "_kept", without_null_members(F.col("_marked")))
-        rows = with_once(rows, "_own", as_written(F.col("_kept")))
+        rows = with_once(rows, "_kept", without_null_members(F.col("_marked"), BYTE_MARK))
+        rows = with_once(rows, "_own", as_written(F.col("_kept"), BYTE_MARK))
         no_object = F.col("_own").isNull()
-        text = merge_objects(F.to_json(F.struct(area, dt)), F.col("_own"))
+        text = continued(F.col("_head"), F.col("_own"))
     read = F.when(no_object, "bad_item").otherwise("clean")
     return rows.select(
         F.coalesce("problem", read).alias("kind"),
@@ -104,7 +110,7 @@ def cleaned_records(
 
 
 def _bad_item(item: Column, item_type: str | None) -> Column:
-    return F.to_json(item) if item_type else as_written(F.to_json(item))
+    return F.to_json(item) if item_type else as_written(F.to_json(item), BYTE_MARK)
 
 
 def rejected_records(df: DataFrame, item_type: str | None = None) -> DataFrame:

@@ -227,3 +227,31 @@ def test_rejected_records_are_those_that_are_not_clean(values, codes):
         every = cleaned_records(values(*texts), codes, item_type=item_type).where("kind <> 'clean'")
         found = rejected_records(values(*texts), item_type)
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.collect()))
+
+
+@pytest.mark.parametrize("string", ["~", "~~", "~null", "~1.5", "~~~1.5", 'x"~1.5"', "'~null", 'x"~~', "'~~", '\\u0022~~', '\\"~~1'])
+def test_strings_that_look_marked_by_a_byte_stay(values, codes, string):
+    item = {"a": string, string: "b", "c": [string, None, 1.5], "d": {"e": string, "f": None}}
+    left = {"a": string, string: "b", "c": [string, None, Decimal("1.5")], "d": {"e": string}, "dt": string}
+    text = json.dumps({"dt": string, "data": [item]})
+    escaped = text.replace('\\"', "\\u0022") if "\\\\" not in text else text
+    for written in (text, text.replace("~", "\\u007e"), text.replace("~", "\\u007E"), escaped, text.replace("'", "\\u0027")):
+        assert records(values(written), codes) == [left]
+
+
+def test_integers_are_kept_whether_marked_or_not(values, codes):
+    numbers = ["0", "-0", "10", "-10", "9" * 17, "-" + "9" * 17, "9" * 18, "1" + "0" * 18, "1E2", "10.0"]
+    listed = ",".join(numbers)
+    text = f'{{"dt":{numbers[4]},"data":[{{"l":[{listed}],"n":null}},{numbers[5]},1.50]}}'
+    assert run(values(text), codes) == [
+        ("bad_item", numbers[5]), ("bad_item", "1.50"), ("clean", f'{{"dt":"{numbers[4]}","l":[{listed}]}}')
+    ]
+    for wrong in ("-", "00", "-01", "1a", "1 2"):
+        bad = f'{{"dt":"t","data":[{{"n":{wrong},"m":1.5}}]}}'
+        assert run(values(bad), codes) == [("malformed", bad)]
+
+
+def test_area_and_time_are_written_once_a_message(values, codes):
+    plan = cleaned_records(values(GOOD), codes)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("struct(area") == 1
+    assert plan.index("posexplode(") < plan.index("struct(area")
